@@ -1,4 +1,8 @@
-"""A corpus pipeline in stages; each stage's rows are written as Parquet and read again by the next."""
+"""A corpus pipeline in five stages; each stage's rows are written as Parquet and read again by the next.
+
+Toxic documents go, then all but one document of each near-duplicate group, then passages that an
+earlier document has already; the rest is mixed to the source weights and packed into batches.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import common, near_dedup
+from tessera.llm import common, mixing, near_dedup, packing, substring_dedup, toxicity
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go."""
+    model = toxicity.fit(toxicity.labelled_documents(spark, docs, sf_dir))
+    return toxicity.drop_toxic(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +24,30 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup_stage)]
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has are cut out of the text."""
+    return substring_dedup.remove_passages(docs, substring_dedup.repeated_passages(docs))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in as many copies as the mix takes."""
+    return mixing.mix_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batches of documents of like length: boundary, shard, batch, doc_ids, n_docs, tokens, padded."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("minhash_near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
+#: Learned models and searches have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
