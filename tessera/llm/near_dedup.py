@@ -208,14 +208,14 @@ def candidate_clusters(sets: DataFrame, threshold: float, trees: int, branch: in
     rows = sets.select("id", "sig").mapInArrow(_branch(trees, branch, True), "node long, id long")
     small: list[DataFrame] = []
     for level in range(1, depth + 1):
-        rows = common.cut(rows)
+        # sizes are counted before the shuffle; the join can be split where a node is hot
         size = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        last = level == depth
-        near = rows.join(size, "node")
-        small.append((near if last else near.where(F.col("size") <= leaf)).select("node", "id"))
-        if last or not size.where(F.col("size") > leaf).limit(1).count():
-            break
+        near = common.cut(rows.join(size, "node").select("node", "id", "size"))
         big = near.where(F.col("size") > leaf).select("node", "id")
+        if level == depth or big.isEmpty():
+            small.append(near.select("node", "id"))
+            break
+        small.append(near.where(F.col("size") <= leaf).select("node", "id"))
         rows = big.join(sets.select("id", "sig"), "id").select("node", "id", "sig").mapInArrow(_branch(trees, branch if level <= 2 else 1, False), "node long, id long").distinct()
     small_all = small[0]
     for more in small[1:]:
@@ -227,11 +227,25 @@ def candidate_clusters(sets: DataFrame, threshold: float, trees: int, branch: in
         .repartition(common.shuffle_partitions(spark), "node")
         .sortWithinPartitions("node", "id")
         .mapInArrow(_leaf_edges(leaf, threshold - 4 * error, threshold), "a long, b long")
-        .distinct()
     )
     return common.connected_components(edges)
 
 
+def _labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the edges and the least node of the component of each."""
+    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = np.arange(len(nodes))
+    x, y = where[: len(a)], where[len(a) :]
+    while True:
+        before = label.copy()
+        low = np.minimum(label[x], label[y])
+        np.minimum.at(label, x, low)
+        np.minimum.at(label, y, low)
+        label = label[label]
+        if (before == label).all():
+            return nodes, nodes[label]
+
+
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Exact intersection sizes of all pairs of sets, as products of 0/1 matrices (float32 is exact below 2**24)."""
     m = len(sets)
@@ -255,9 +269,10 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _exact_links(k: int, percent: int):
-    """(cluster, i, j, block, id, text) sorted by cluster, i, j -> links (a, b) as a spanning forest.
+    """(cluster, blocks, i, j, block, id, text) sorted by cluster, i, j -> links (a, b) as a spanning forest.
 
-    i = j: all pairs of a block; i < j: pairs between two blocks of a large cluster.
+    i = j: all pairs of a block; i < j: pairs between two blocks of a large cluster.  With one block the
+    components are known at once: b is then the least id linked with a, and ``final`` is true.
     """
 
     def links(ids: np.ndarray, block: np.ndarray, sets: list[np.ndarray], across: bool):
@@ -281,13 +296,17 @@ def _exact_links(k: int, percent: int):
             for chunk in group["text"].chunks:
                 for _, h, counts in common.words_by_text(chunk, fold=True):
                     sets += _unique_sets(h, counts, k)
-            a, b = links(group["id"].to_numpy(), group["block"].to_numpy(), sets, group["i"][0] != group["j"][0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            ids = group["id"].to_numpy()
+            a, b = links(ids, group["block"].to_numpy(), sets, group["i"][0] != group["j"][0])
+            final = group["blocks"][0].as_py() == 1
+            if final:
+                a, b = _labels(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(np.full(len(a), final))], names=["a", "b", "final"])
 
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 8, branch: int = 2, leaf: int = 1024, depth: int = 12, block: int = 1024) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 6, branch: int = 2, leaf: int = 4096, depth: int = 8, block: int = 2560) -> DataFrame:
     """Classes of near-duplicate documents.
 
     docs: doc_id, text.  Returns one row per input row: doc_id, n_shingles, component_id (the
@@ -309,16 +328,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     size = clusters.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     dealt = clusters.join(size, "label").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.select("label", "id", "block", other.alias("o")).select("label", "id", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+    dealt = dealt.select("label", "id", "blocks", "block", other.alias("o")).select("label", "id", "blocks", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
     texts = base.where("doc_id is not null").join(dealt.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi")
     links = common.cut(
         dealt.join(texts.withColumnRenamed("doc_id", "id"), "id")
-        .select("label", "i", "j", "block", "id", "text")
+        .select("label", "i", "j", "blocks", "block", "id", "text")
         .repartition(common.shuffle_partitions(spark), "label", "i", "j")
         .sortWithinPartitions("label", "i", "j", "id")
-        .mapInArrow(_exact_links(k, percent), "a long, b long")
+        .mapInArrow(_exact_links(k, percent), "a long, b long, final boolean")
     )
-    found = common.connected_components(links)
+    found = links.where("final").select(F.col("a").alias("id"), F.col("b").alias("label"))
+    open_ = links.where("not final").select("a", "b")
+    if not open_.isEmpty():
+        found = found.union(common.connected_components(open_))
     labelled = sets.select("digest", "id").join(found, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
     out = described.join(labelled, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
