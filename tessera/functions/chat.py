@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType
 
 from tessera.functions.text import blank_to, canonical, token_count
 
@@ -205,7 +206,7 @@ def parse_tool_calls(text: str | None) -> list[tuple[str | None, str, bool]]:
     return found
 
 
-@F.pandas_udf("array<struct<name:string,arguments:string,valid:boolean>>")
+@F.pandas_udf(ArrayType(StructType().add("name", StringType()).add("arguments", StringType()).add("valid", BooleanType())))
 def tool_calls_udf(text):
     import pandas as pd
 

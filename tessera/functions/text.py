@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 FRAGMENT_TOKENS = 12
 #: Upper bounds of the length buckets; longer texts are in ">4096".
@@ -23,7 +24,7 @@ def canonical(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.replace(F.lower(_col(text)), F.lit("ß"), F.lit("ss")), r"\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_udf(text):
     """Exact canonical form: NFKC, casefold, white space collapsed."""
     return text.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tessera.functions.text import qa_normal
 
@@ -74,7 +75,7 @@ def join_predictions(records: DataFrame, predictions: DataFrame, key: str, order
     return records.join(last, key, "left").withColumn("missing", F.col("prediction").isNull())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_ratio_udf(a, b):
     """Best ratio (0 to 100) of the shorter string against the windows of the longer one."""
     from difflib import SequenceMatcher
