@@ -30,12 +30,11 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 from tessera.llm.near_dedup import _runs
 
-K = 6
-WINDOW = 16
+K = 8
+WINDOW = 14
 MIN_WORDS = 50
 MAX_GAP = 40
 DROP = 8
-MARGIN = WINDOW + K + 2
 
 
 def _seeds(k: int, window: int):
@@ -142,16 +141,28 @@ def chain(x: np.ndarray, y: np.ndarray, k: int, max_gap: int = MAX_GAP) -> list[
     return out
 
 
-def _chains(k: int, min_span: int):
-    """(doc_id, anchor, pos, anchor_pos) sorted by doc_id, anchor -> chains wide enough to matter."""
+#: Chains of one pair of documents closer than so many words are aligned together.
+NEAR = 64
+CHAINS = "doc_id long, anchor long, x0 int, x1 int, y0 int, y1 int, chains array<int>"
+
+
+def _chains(k: int):
+    """(doc_id, anchor, pos, anchor_pos) sorted by doc_id, anchor -> neighbouring chains of a pair, one row:
+    the words they span in both texts and the chains, best first, as (number of runs, then x, y, words of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for group in _runs(batches, 2):
             doc, anchor = group["doc_id"][0].as_py(), group["anchor"][0].as_py()
-            for x0, x1, y0, y1, runs in chain(group["pos"].to_numpy(), group["anchor_pos"].to_numpy(), k):
-                if x1 - x0 >= min_span:
-                    out.append((doc, anchor, x0, x1, y0, y1, [v for r in runs for v in r]))
+            near: list = []
+            for c in [*sorted(chain(group["pos"].to_numpy(), group["anchor_pos"].to_numpy(), k)), None]:
+                if near and (c is None or c[0] > max(x[1] for x in near[-8:]) + NEAR):
+                    near.sort(key=lambda c: c[0] - c[1])
+                    flat = [v for c in near for v in (len(c[4]), *(w for r in c[4] for w in r))]
+                    out.append((doc, anchor, min(c[0] for c in near), max(c[1] for c in near), min(c[2] for c in near), max(c[3] for c in near), flat))
+                    near = []
+                if c is not None:
+                    near.append(c)
             if len(out) >= 5000:
                 yield _batch(out)
                 out = []
@@ -160,27 +171,26 @@ def _chains(k: int, min_span: int):
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "anchor", "x0", "x1", "y0", "y1", "runs"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "anchor", "x0", "x1", "y0", "y1", "chains"])
 
     return run
 
 
 def _cut_words(margin: int):
-    """(want_id, chain, side, from_word, to_word, text) sorted by want_id -> the words' hashes as bytes and where they begin."""
+    """(doc_id, anchor, x0, side, from_word, to_word, text), rows of a text next to each other -> the words' hashes as bytes and where they begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
         for batch in batches:
-            begin, words = [], []
-            for text, a, b in zip(batch.column("text"), batch.column("from_word").to_pylist(), batch.column("to_word").to_pylist(), strict=True):
-                text = text.as_py() or ""
-                if kept[0] != text:
-                    parts = [h for _, h, _ in common.words_by_text(pa.array([text]), fold=True)]
-                    kept = (text, np.concatenate(parts) if parts else np.zeros(0, np.uint64))
+            text = batch.column("text").dictionary_encode()
+            words: list[np.ndarray] = []
+            for _, h, counts in common.words_by_text(text.dictionary, fold=True):
+                words += np.split((h >> np.uint64(32)).astype(np.uint32), np.cumsum(counts)[:-1])
+            begin, cut = [], []
+            for i, a, b in zip(text.indices.to_pylist(), batch.column("from_word").to_pylist(), batch.column("to_word").to_pylist(), strict=True):
                 lo = max(0, a - margin)
                 begin.append(lo)
-                words.append((kept[1][lo : b + margin] >> np.uint64(32)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("chain"), batch.column("side"), pa.array(begin, pa.int32()), pa.array(words, pa.binary())], names=["chain", "side", "begin", "words"])
+                cut.append(words[i][lo : b + margin].tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "anchor", "x0", "side")), pa.array(begin, pa.int32()), pa.array(cut, pa.binary())], names=["doc_id", "anchor", "x0", "side", "begin", "words"])
 
     return run
 
@@ -229,19 +239,26 @@ def align(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], drop:
 
 
 def _align(min_words: int, identity: float):
-    """Two rows a chain (side 0: the copy, 1: the anchor) -> passages."""
+    """A row for near chains of a pair with both slices -> passages; a chain inside a passage found already is part of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for c, a_at, a, b_at, b in zip(*(batch.column(x).to_pylist() for x in ("chain", "a_begin", "a", "b_begin", "b")), strict=True):
+            for doc, anchor, flat, a_at, a, b_at, b in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "anchor", "chains", "a_begin", "a", "b_begin", "b")), strict=True):
                 a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-                flat = c["runs"]
-                runs = [(flat[i] - a_at, flat[i + 1] - b_at, flat[i + 2]) for i in range(0, len(flat), 3)]
-                x0, x1, y0, y1, equal = align(a, b, runs)
-                same = equal / max(x1 - x0, y1 - y0)
-                if x1 - x0 >= min_words and same >= identity:
-                    out.append((c["doc_id"], x0 + a_at, x1 - x0, c["anchor"], y0 + b_at, y1 - y0, equal, same))
+                spans: list[tuple[int, int]] = []
+                i = 0
+                while i < len(flat):
+                    runs = [(flat[j] - a_at, flat[j + 1] - b_at, flat[j + 2]) for j in range(i + 1, i + 1 + 3 * flat[i], 3)]
+                    i += 1 + 3 * flat[i]
+                    if any(x <= runs[0][0] and runs[-1][0] + runs[-1][2] <= y for x, y in spans):
+                        continue
+                    x0, x1, y0, y1, equal = align(a, b, runs)
+                    same = equal / max(x1 - x0, y1 - y0)
+                    if same >= identity:
+                        spans.append((x0, x1))
+                        if x1 - x0 >= min_words and (doc != anchor or y0 + b_at < x0 + a_at):
+                            out.append((doc, x0 + a_at, x1 - x0, anchor, y0 + b_at, y1 - y0, equal, same))
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
             names = ["doc_id", "start_word", "n_words", "source_id", "source_start_word", "source_n_words", "equal_words", "identity"]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
@@ -263,15 +280,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
     seeds = base.mapInArrow(_seeds(k, window), "seed long, doc_id long, pos int")
     first = seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n")).where("n > 1").select("seed", F.col("at.doc_id").alias("anchor"), F.col("at.pos").alias("anchor_pos"))
     matches = seeds.join(first, "seed").where("doc_id <> anchor or pos > anchor_pos").select("doc_id", "anchor", "pos", "anchor_pos")
-    chains = matches.repartition(parts, "doc_id", "anchor").sortWithinPartitions("doc_id", "anchor", "pos").mapInArrow(_chains(k, max(k, min_words - 2 * (window + k))), "doc_id long, anchor long, x0 int, x1 int, y0 int, y1 int, runs array<int>")
-    chains = common.cut(chains)
-    key = F.struct("doc_id", "anchor", "x0", "y0", "runs").alias("chain")
-    wanted = chains.select(F.col("doc_id").alias("want_id"), key, F.lit(0).alias("side"), F.col("x0").alias("from_word"), F.col("x1").alias("to_word")).union(
-        chains.select(F.col("anchor").alias("want_id"), key, F.lit(1).alias("side"), F.col("y0").alias("from_word"), F.col("y1").alias("to_word"))
+    chains = common.cut(matches.repartition(parts, "doc_id", "anchor").sortWithinPartitions("doc_id", "anchor", "pos").mapInArrow(_chains(k), CHAINS))
+    key = ["doc_id", "anchor", "x0"]
+    wanted = chains.select(F.col("doc_id").alias("want_id"), *key, F.lit(0).alias("side"), F.col("x0").alias("from_word"), F.col("x1").alias("to_word")).union(
+        chains.select(F.col("anchor").alias("want_id"), *key, F.lit(1).alias("side"), F.col("y0").alias("from_word"), F.col("y1").alias("to_word"))
     )
     texts = base.withColumnRenamed("doc_id", "want_id")
-    slices = wanted.join(texts, "want_id").select("chain", "side", "from_word", "to_word", "text").mapInArrow(_cut_words(MARGIN), "chain struct<doc_id:long,anchor:long,x0:int,y0:int,runs:array<int>>, side int, begin int, words binary")
-    sides = slices.groupBy("chain").agg(*[F.first(F.when(F.col("side") == s, F.col(c)), ignorenulls=True).alias(n) for s, c, n in ((0, "begin", "a_begin"), (0, "words", "a"), (1, "begin", "b_begin"), (1, "words", "b"))])
+    slices = wanted.join(texts, "want_id").select(*key, "side", "from_word", "to_word", "text").mapInArrow(_cut_words(window + k + 2), "doc_id long, anchor long, x0 int, side int, begin int, words binary")
+    sides = slices.groupBy(*key).agg(*[F.first(F.when(F.col("side") == s, F.col(c)), ignorenulls=True).alias(n) for s, c, n in ((0, "begin", "a_begin"), (0, "words", "a"), (1, "begin", "b_begin"), (1, "words", "b"))])
+    sides = sides.join(chains.select(*key, "chains"), key)
     return sides.mapInArrow(_align(min_words, identity), PASSAGE)
 
 
