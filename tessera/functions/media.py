@@ -32,20 +32,22 @@ def aspect_name(height: Column | str, width: Column | str) -> Column:
     return F.when(ratio < 0.85, "tall").when(ratio > 1.18, "wide").otherwise("square")
 
 
-ASPECTS = ((1, 1), (5, 4), (4, 5), (4, 3), (3, 4), (3, 2), (2, 3), (16, 10), (10, 16), (16, 9), (9, 16), (2, 1), (1, 2), (21, 9))
+#: The standard aspect ratios (width, height).
+ASPECTS = ((1, 2), (9, 16), (2, 3), (3, 4), (4, 5), (1, 1), (5, 4), (4, 3), (3, 2), (16, 10), (5, 3), (16, 9), (2, 1), (21, 9))
 
 
 def bucket_table(pixels: int, quantum: int = 64, aspects: Sequence[tuple[int, int]] = ASPECTS) -> list[tuple[int, int, int]]:
-    """(id, width, height): distinct quantised resolutions under a pixel budget, in the order of the aspects."""
-    out: list[tuple[int, int]] = []
+    """(id, width, height): distinct resolutions in multiples of the quantum (half to even) under a pixel budget, by aspect ratio."""
+    found = set()
     for a, b in aspects:
-        h = (pixels * b / a) ** 0.5
-        w, h = max(quantum, round(h * a / b / quantum) * quantum), max(quantum, round(h / quantum) * quantum)
-        while w * h > pixels and max(w, h) > quantum:
+        near = lambda n: round(int(n) / quantum) * quantum
+        h = near((pixels * b / a) ** 0.5)
+        w = near(h * a / b)
+        while w * h > pixels:
             w, h = (w - quantum, h) if w >= h else (w, h - quantum)
-        if (w, h) not in out:
-            out.append((w, h))
-    return [(i, w, h) for i, (w, h) in enumerate(out)]
+        if min(w, h) >= quantum:
+            found.add((w, h))
+    return [(i, w, h) for i, (w, h) in enumerate(sorted(found, key=lambda r: r[0] / r[1]))]
 
 
 def nearest_bucket(height: Column | str, width: Column | str, buckets: Sequence[tuple[int, int, int]]) -> Column:

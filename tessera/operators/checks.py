@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.tokens import IGNORE
 
-TERMINAL = (".", "!", "?", ")", "]", "}", '"', "'", "`", "*", ":", ";", "…", "。", "！", "？")
+#: Characters that may end an answer.
+TERMINAL = (".", "!", "?", '"', "'", ")", "]", "}", ">", "*", "`", ":", ";")
 
 
 def _col(c: Column | str) -> Column:
