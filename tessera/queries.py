@@ -394,10 +394,11 @@ p(source, r, doc_id, n, fill, pack) AS (
   SELECT source, r, doc_id, n, CASE WHEN n > 2048 THEN 0 ELSE n END, 0 FROM d WHERE r = 1 UNION ALL
   SELECT d.source, d.r, d.doc_id, d.n, CASE WHEN d.n > 2048 THEN p.fill WHEN p.fill + d.n > 2048 THEN d.n ELSE p.fill + d.n END, CASE WHEN d.n <= 2048 AND p.fill + d.n > 2048 THEN p.pack + 1 ELSE p.pack END
   FROM p JOIN d ON d.source = p.source AND d.r = p.r + 1)
-SELECT source, doc_id, n AS n_tokens, CASE WHEN n > 2048 THEN NULL ELSE pack END::BIGINT AS pack FROM p"""
+SELECT source, doc_id, n AS n_tokens, CASE WHEN n > 2048 THEN -1 ELSE pack END::BIGINT AS pack FROM p"""
 )
 def pack_greedy(spark, sf_dir):
-    return packing.pack_greedy(_with_tokens(_docs(spark, sf_dir)), "source", ["doc_id"], "n_tokens", 2048)
+    """Packs of 2,048 tokens by source; longer documents show pack -1."""
+    return packing.pack_greedy(_with_tokens(_docs(spark, sf_dir)), "source", ["doc_id"], "n_tokens", 2048).fillna(-1, ["pack"])
 
 
 @query()
@@ -591,10 +592,10 @@ r AS (SELECT q.*, n.ids[1:2] AS neg_doc FROM q LEFT JOIN l n ON n.label = q.labe
 
 @query(
     _RQ
-    + "SELECT query_id, CASE WHEN len(pos_doc) > 1 THEN u - 1 END AS id_idx, array_to_string(CASE WHEN len(pos_doc) > 1 THEN [pos_doc[u]] ELSE pos_doc END, ',') AS pos_doc FROM (SELECT *, unnest(range(1, greatest(len(pos_doc), 1) + 1)) AS u FROM r)"
+    + "SELECT query_id, CASE WHEN len(pos_doc) > 1 THEN u - 1 ELSE -1 END AS id_idx, array_to_string(CASE WHEN len(pos_doc) > 1 THEN [pos_doc[u]] ELSE pos_doc END, ',') AS pos_doc FROM (SELECT *, unnest(range(1, greatest(len(pos_doc), 1) + 1)) AS u FROM r)"
 )
 def unroll_positives(spark, sf_dir):
-    return retrieval.unroll_positives(_retrieval_rows(spark, sf_dir)).select("query_id", "id_idx", F.array_join(F.col("pos_doc").cast("array<string>"), ",").alias("pos_doc"))
+    return retrieval.unroll_positives(_retrieval_rows(spark, sf_dir)).select("query_id", F.coalesce("id_idx", F.lit(-1)).cast("long").alias("id_idx"), F.array_join(F.col("pos_doc").cast("array<string>"), ",").alias("pos_doc"))
 
 
 @query(
