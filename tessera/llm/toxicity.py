@@ -34,6 +34,9 @@ MAX_ENTRIES = 5_000
 #: Words that half of the weight of one hit is spread over.
 LENGTH = 100.0
 
+#: Characters folded at once.
+RUN = 400_000
+
 SEED_LEXICON = {"idiot": 4.0, "moron": 4.0, "stupid": 3.0, "scum": 4.0, "trash": 2.0, "pathetic": 2.5, "worthless": 3.0, "disgusting": 2.5, "loser": 3.0, "clown": 2.0}
 #: A hit inside one of these is not one.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown fish", "clown fish", "stupid question", "loser bracket")
@@ -147,8 +150,17 @@ class Model:
         self.entries, self.exceptions, self.coefficients = json.dumps(entries), json.dumps(list(exceptions)), np.array(coefficients)
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        weight, hits, words = lexicon_weights(texts, self.entries, self.exceptions)
-        return 1 / (1 + np.exp(-np.clip(_features(weight, words) @ self.coefficients, -30, 30))), hits
+        """Scores and hits; texts are folded in runs of about RUN characters, so memory follows the longest text, not the batch."""
+        score, hits = [np.zeros(0)], [np.zeros(0, np.int64)]
+        at = chars = 0
+        for i, t in enumerate(texts):
+            chars += len(t or "")
+            if chars >= RUN or i == len(texts) - 1:
+                weight, n, words = lexicon_weights(texts[at : i + 1], self.entries, self.exceptions)
+                score.append(1 / (1 + np.exp(-np.clip(_features(weight, words) @ self.coefficients, -30, 30))))
+                hits.append(n)
+                at, chars = i + 1, 0
+        return np.concatenate(score), np.concatenate(hits)
 
 
 def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
