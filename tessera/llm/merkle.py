@@ -138,11 +138,10 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
     rows = docs.withColumn("slice", F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(below, lambda b: b < F.col("doc_id")))))
     # the first key of each slice is wanted by the slice before it, the first slice's by the last
     firsts = rows.groupBy("slice").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("real"), "doc_id")).alias("key")).orderBy("slice").collect()  # ``slices`` rows at most
-    copy_to = F.lit(None).cast("int")
-    for k, r in enumerate(firsts):
-        here = (F.col("doc_id") == r["key"]["doc_id"]) if r["key"]["real"] else F.col("doc_id").isNull()
-        copy_to = F.when((F.col("slice") == r["slice"]) & here, F.lit(firsts[k - 1]["slice"])).otherwise(copy_to)
-    extra = rows.withColumn("slice", copy_to).where("slice is not null").withColumn("tail", F.lit(1))
+    spark = docs.sparkSession
+    heads = spark.createDataFrame([(r["slice"], r["key"]["doc_id"], firsts[k - 1]["slice"]) for k, r in enumerate(firsts)], "slice int, first_id long, to int")
+    copies = rows.join(F.broadcast(heads), "slice").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    extra = copies.select(*docs.columns, F.col("to").alias("slice"), F.lit(1).alias("tail"))
     both = rows.withColumn("tail", F.lit(0)).unionByName(extra)
     dealt = both.repartition(parts, "slice").sortWithinPartitions("slice", "tail", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
