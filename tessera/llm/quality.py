@@ -35,72 +35,74 @@ RULES = (
     Rule("symbols_per_word", "n_symbols / n_words", None, 0.3),
     Rule("stop_word_share", "n_stop_words / n_words", 0.01, None),
     Rule("duplicate_line_share", "n_dup_lines / n_lines", None, 0.6),
-    Rule("shout_share", "n_shout_words / n_words", None, 0.5),
+    Rule("shout_share", "n_shouts / n_words", None, 0.5),
 )
 
 LINE_WITH_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _first(text: Column) -> dict[str, Column]:
-    stop = "|".join(STOP_WORDS)
-    return {
-        "_words": F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""),
-        "_lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(LINE_WITH_WORD)),
-        "n_symbols": F.length(text) - F.length(F.translate(text, "#*$%&|<>", "")),
-        "_spaces": F.length(text) - F.length(F.translate(text, " \t\n\x0b\x0c\r", "")),
-        "_stops": F.regexp_count(text, F.lit(rf"(?i)(?<![^\x20\x09-\x0D])(?:{stop})(?![^\x20\x09-\x0D])")),
-        "_shouts": F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])\p{Lu}{2,}[^\x20\x09-\x0D]*!!(?![^\x20\x09-\x0D])")),
-    }
-
-
-def _covered(windows: Column) -> Column:
-    """Words inside windows (of three) found twice or more; windows: 64-bit hashes by position."""
-
-    def by_hash(sorted_windows: Column) -> Column:
-        n = F.size(sorted_windows)
-        # a window's position if the sorted row before or after has the same hash, else none
-        places = F.transform(
-            sorted_windows,
-            lambda x, j: F.when(
-                ((j > 0) & (F.get(sorted_windows, j - 1)["h"] == x["h"])) | ((j < n - 1) & (F.get(sorted_windows, j + 1)["h"] == x["h"])),
-                x["i"],
-            ),
-        )
-        return F.array_sort(F.array_compact(places))
-
-    pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    places = F.element_at(F.transform(F.array(F.sort_array(pairs)), by_hash), 1)
-    start = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
-    total = F.aggregate(places, start, lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")), lambda acc: acc["n"])
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), total).otherwise(0)
+def _covered(windows: Column, n_words: Column) -> Column:
+    """Words inside windows (of three) found twice or more; windows: 64-bit hashes by position.
+
+    Hash and position are packed into one long (the low bits hold the position: 10 up to 1,024
+    words, 16 up to 65,536), so a primitive sort brings equal windows together; longer texts sort pairs.
+    """
+
+    def total(places: Column) -> Column:
+        start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+        step = lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3).cast("long"), i - acc["last"])).alias("n"))
+        return F.aggregate(F.array_sort(places), start, step, lambda acc: acc["n"])
+
+    def bind(value: Column, use) -> Column:
+        """use(value) with the value computed once."""
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def packed(bits: int) -> Column:
+        low = (1 << bits) - 1
+        rows = F.sort_array(F.transform(windows, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
+
+        def use(r: Column) -> Column:
+            # two hashes are equal if the rows differ in the low bits alone
+            like = lambda x, j: F.coalesce(x.bitwiseXOR(F.get(r, j)).between(0, low), F.lit(False))
+            twice = F.filter(r, lambda x, j: like(x, j + 1) | like(x, j - 1))
+            return F.when(F.size(twice) > 0, total(F.transform(twice, lambda x: x.bitwiseAND(F.lit(low))))).otherwise(0)
+
+        return bind(rows, use)
+
+    def pairs() -> Column:
+        rows = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))
+        like = lambda r, x, j: F.coalesce(F.get(r, j)["h"] == x["h"], F.lit(False))
+        return bind(rows, lambda r: total(F.transform(F.filter(r, lambda x, j: like(r, x, j + 1) | like(r, x, j - 1)), lambda x: x["i"])))
+
+    return F.when(n_words <= 1024, packed(10)).when(n_words <= 65536, packed(16)).otherwise(pairs())
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the measures as further long columns (existing columns of those names are replaced)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_shout_words"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_shouts"]
     df = docs.drop(*[c for c in docs.columns if c in names and c != text_col])
-    df = df.withColumns(_first(text))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(LINE_WITH_WORD))
+    df = df.withColumns({"_words": words, "_lines": lines})
+    stop = [f(w) for w in STOP_WORDS for f in (str.lower, str.capitalize, str.upper)]
+    df = df.withColumns({"_hashes": F.transform("_words", lambda w: F.xxhash64(w)), "_stops": F.filter("_words", lambda w: w.isin(stop))})
+    tail = lambda k: F.slice("_hashes", k + 1, F.size("_hashes"))
+    windows = F.transform(F.slice(F.arrays_zip("_hashes", tail(1), tail(2)), 1, F.greatest(F.size("_hashes") - 2, F.lit(0))), lambda z: F.xxhash64(z))
     df = df.withColumns(
         {
             "n_words": F.size("_words"),
-            "word_chars": F.length(text) - F.col("_spaces"),
+            "word_chars": F.length(F.array_join("_words", "")),
+            "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
             "n_lines": F.size("_lines"),
             "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-            "n_stop_words": F.col("_stops"),
-            "n_shout_words": F.col("_shouts"),
-            "_windows": F.when(
-                F.size("_words") >= 4,
-                F.zip_with(
-                    F.zip_with(F.slice("_words", 1, F.size("_words") - 2), F.slice("_words", 2, F.size("_words") - 2), lambda a, b: F.xxhash64(a, b)),
-                    F.slice("_words", 3, F.size("_words") - 2),
-                    lambda h, c: F.xxhash64(h, c),
-                ),
-            ).otherwise(F.array().cast("array<bigint>")),
+            "n_stop_words": F.size("_stops"),
+            "n_shouts": ((F.length(text) - F.length(F.replace(text, F.lit("!!"), F.lit("")))) / 2).cast("long"),
+            "_windows": windows,
         }
     )
-    df = df.withColumn("n_repeat_words", _covered(F.col("_windows")))
-    return df.withColumns({n: F.col(n).cast("long") for n in names}).drop("_words", "_lines", "_spaces", "_stops", "_shouts", "_windows")
+    df = df.withColumn("n_repeat_words", F.when(F.size("_windows") > 1, _covered(F.col("_windows"), F.size("_words"))).otherwise(0))
+    return df.withColumns({n: F.col(n).cast("long") for n in names}).drop("_words", "_lines", "_hashes", "_stops", "_windows")
 
 
 def judge(measured: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -124,7 +126,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(measures(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-_STOP = "|".join(STOP_WORDS)
+_STOP = ", ".join(f"'{f(w)}'" for w in STOP_WORDS for f in (str.lower, str.capitalize, str.upper))
 OP6_SQL = rf"""
 WITH base AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -139,14 +141,14 @@ WITH base AS (
   SELECT base.rid, doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
     (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
-    len(list_filter(words, lambda w: regexp_full_match(w, '(?i)({_STOP})')))::BIGINT AS n_stop_words,
-    len(list_filter(words, lambda w: regexp_full_match(w, '\p{{Lu}}{{2,}}[^\x20\x09-\x0D]*!!')))::BIGINT AS n_shout_words
+    len(list_filter(words, lambda w: list_contains([{_STOP}], w)))::BIGINT AS n_stop_words,
+    ((length(text) - length(replace(text, '!!', ''))) // 2)::BIGINT AS n_shouts
   FROM base LEFT JOIN repeats ON base.rid = repeats.rid
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars / n_words BETWEEN 1.5 AND 20.0 AND n_symbols / n_words <= 0.3 AND n_stop_words / n_words >= 0.01
-    AND n_dup_lines / n_lines <= 0.6 AND n_shout_words / n_words <= 0.5 AS kept
+    AND n_dup_lines / n_lines <= 0.6 AND n_shouts / n_words <= 0.5 AS kept
 FROM judged
 """
