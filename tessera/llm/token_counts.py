@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER_DIR = "/opt/tokenizers"
 RANKS_FILE = "byte_bpe_50k.tiktoken"
-#: Characters encoded at once; longer texts are encoded whole all the same.
+#: Lengths in a block of the two-level sums.
 BLOCK_LENGTHS = 1024
 
 
