@@ -16,6 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes handled at once by the kernels; longer texts are cut at white space.
 BLOCK = 1 << 20
 
+#: Rows in an Arrow batch of texts.
+BATCH_ROWS = 2000
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors; set to a local one only if unset (tests)."""
@@ -36,6 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows reach Python in Arrow batches of BATCH_ROWS at most, so a worker holds a few MB of texts and not 10,000 of them."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

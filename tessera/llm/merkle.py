@@ -131,6 +131,7 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
     quantiles into four slices a part; every slice also gets a copy of the first row of the slice
     after it, so no task needs more than its slice and no window spans the table.
     """
+    common.bounded_batches(docs.sparkSession)
     slices = 4 * parts
     cuts = ", ".join(str((k + 1) / slices) for k in range(slices - 1))
     bounds = sorted(set(docs.agg(F.expr(f"percentile_approx(doc_id, array({cuts}), 10000)").alias("q")).first()["q"] or []))

@@ -275,6 +275,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
     start_word and n_words count the words of the whole text from 0; source_* name the first occurrence.
     """
     spark = docs.sparkSession
+    common.bounded_batches(spark)
     parts = common.shuffle_partitions(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     seeds = base.mapInArrow(_seeds(k, window), "seed long, doc_id long, pos int")

@@ -184,6 +184,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, min_docs: int = 8, max_entrie
     spark = labelled.sparkSession
     from tessera.llm import common
 
+    common.bounded_batches(spark)
     picked = common.cut(picked.repartition(common.shuffle_partitions(spark)))
     n = {int(r["toxic"]): r["count"] for r in picked.groupBy("toxic").count().collect()}
     nt, nc = n.get(1, 0), n.get(0, 0)
