@@ -6,8 +6,7 @@
 2. Chosen paths: each of ``trees`` trees sends a set to the child named by one MinHash
    coordinate and its value.  The number of sets in each node is counted; nodes of more than
    ``leaf`` sets branch on, every set into ``branch`` children picked by the path, until all
-   are small or ``depth`` is reached (what is left then is compared in blocks along the path
-   order).  A pair at similarity s shares a child with probability 1 - (1 - s) ** branch.
+   are small or ``depth`` is reached (what is left then is compared in all pairs of blocks).  A pair at similarity s shares a child with probability 1 - (1 - s) ** branch.
 3. Small nodes are compared exhaustively on the MinHash vectors; of the pairs whose estimate
    lies above the threshold less four standard errors, a spanning forest is enough, as only
    connectivity counts.  Its components are candidate clusters.
@@ -147,7 +146,7 @@ def _runs(batches: Iterator[pa.RecordBatch], key: int = 1) -> Iterator[pa.Table]
         yield flush()
 
 
-def _leaf_edges(leaf: int, low: float, ratio: float):
+def _leaf_edges(low: float, ratio: float):
     """(node, id, n, sig) sorted by node -> candidate edges (a, b): a spanning forest a node."""
     least = low * COORDS
 
@@ -187,11 +186,7 @@ def _leaf_edges(leaf: int, low: float, ratio: float):
             elif node.num_rows > 2:
                 ids, n = node["id"].to_numpy(), node["n"].to_numpy()
                 sig = _vectors(node["sig"].combine_chunks())
-                order = np.lexsort((ids, *(sig[:, c] for c in range(8))))  # along the path: blocks keep what is alike together
-                for at in range(0, len(ids), leaf):
-                    own = order[max(0, at - leaf // 4) : at + leaf]
-                    if len(own) > 1:
-                        out.append(compare(ids[own], n[own], sig[own]))
+                out.append(compare(ids, n, sig))
             if len(out) >= 5000:
                 yield pack()
         if pair:
@@ -202,6 +197,14 @@ def _leaf_edges(leaf: int, low: float, ratio: float):
     return run
 
 
+def _block_pairs(big: DataFrame, leaf: int) -> DataFrame:
+    """(node, id, size) of nodes of more than ``leaf`` sets -> (node, id): a node for each pair of blocks of about leaf / 2 sets, so that all pairs meet."""
+    half = max(1, leaf // 2)
+    dealt = big.withColumn("blocks", F.ceil(F.col("size") / F.lit(half)).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    pairs = dealt.select("node", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).where("other <> block")
+    return pairs.select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("node"), "id")
+
+
 def candidate_clusters(sets: DataFrame, threshold: float, trees: int, branch: int, leaf: int, depth: int) -> DataFrame:
     """Chosen-path trees over (id, n, sig) -> (id, label) of the candidate clusters."""
     spark = sets.sparkSession
@@ -212,10 +215,12 @@ def candidate_clusters(sets: DataFrame, threshold: float, trees: int, branch: in
         size = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         near = common.cut(rows.join(size, "node").select("node", "id", "size"))
         big = near.where(F.col("size") > leaf).select("node", "id")
-        if level == depth or big.isEmpty():
-            small.append(near.select("node", "id"))
-            break
         small.append(near.where(F.col("size") <= leaf).select("node", "id"))
+        if big.isEmpty():
+            break
+        if level == depth:
+            small.append(_block_pairs(near.where(F.col("size") > leaf), leaf))
+            break
         rows = big.join(sets.select("id", "sig"), "id").select("node", "id", "sig").mapInArrow(_branch(trees, branch if level <= 2 else 1, False), "node long, id long").distinct()
     small_all = small[0]
     for more in small[1:]:
@@ -226,7 +231,7 @@ def candidate_clusters(sets: DataFrame, threshold: float, trees: int, branch: in
         .select("node", "id", "n", "sig")
         .repartition(common.shuffle_partitions(spark), "node")
         .sortWithinPartitions("node", "id")
-        .mapInArrow(_leaf_edges(leaf, threshold - 4 * error, threshold), "a long, b long")
+        .mapInArrow(_leaf_edges(threshold - 4 * error, threshold), "a long, b long")
     )
     return common.connected_components(edges)
 

@@ -119,6 +119,16 @@ def test_a_group_larger_than_a_block_is_one_component(spark):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_a_node_left_at_the_last_level_is_compared_whole(spark):
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 2**32, (200, near_dedup.COORDS), dtype=np.uint32)
+    sig[:, 0] = 7  # all share the one node of the only tree
+    sig[150, 8:] = sig[20, 8:]  # one pair, unlike in coordinates 1..7
+    sets = spark.createDataFrame([(i, 50, bytearray(v.tobytes())) for i, v in enumerate(sig)], "id long, n long, sig binary")
+    got = near_dedup.candidate_clusters(sets, 0.8, trees=1, branch=2, leaf=8, depth=1).collect()
+    assert {(r["id"], r["label"]) for r in got} == {(20, 20), (150, 20)}
+
+
 def test_near_dedup_of_an_empty_table(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
 
