@@ -1,6 +1,7 @@
 """Operators of the llm subpackage against brute force on small fixtures, and edge cases."""
 
 import hashlib
+import inspect
 import random
 import re
 from pathlib import Path
@@ -129,6 +130,23 @@ def test_a_node_left_at_the_last_level_is_compared_whole(spark):
     assert {(r["id"], r["label"]) for r in got} == {(20, 20), (150, 20)}
 
 
+def test_recall_at_the_threshold_does_not_fall_with_depth(spark):
+    rng = np.random.default_rng(9)
+    pairs = 1200
+    left = rng.integers(0, 4, (pairs, near_dedup.COORDS), dtype=np.uint32)  # few values: many levels until nodes are small
+    right = left.copy()
+    for row in right:
+        other = rng.choice(near_dedup.COORDS, 13, replace=False)
+        row[other] = row[other] + 4 + rng.integers(0, 4, 13, dtype=np.uint32)
+    rows = [(i, 50, bytearray(v.tobytes())) for i, v in enumerate(np.concatenate([left, right]))]
+    sets = spark.createDataFrame(rows, "id long, n long, sig binary")
+    default = {k: v.default for k, v in inspect.signature(near_dedup.near_duplicates).parameters.items()}
+    got = near_dedup.candidate_clusters(sets, 0.78, default["trees"], default["branch"], leaf=2, depth=8)
+    label = {r["id"]: r["label"] for r in got.collect()}
+    missed = sum(i not in label or label.get(i) != label.get(i + pairs) for i in range(pairs))
+    assert missed <= 1
+
+
 def test_near_dedup_of_an_empty_table(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
 
