@@ -7,8 +7,8 @@
    aggregated before they are shuffled; the join is a plain equi-join that adaptive execution
    can split where a seed is hot.
 3. Chains: the matches between a document and an anchor document become maximal diagonal runs;
-   runs are chained in the order of both texts with a gap cost, the best predecessor coming from a Fenwick tree
-   over anchor places that keeps maxima of score plus place.
+   runs are chained in the order of both texts with a gap cost, the best predecessor being chosen among the runs that
+   end within MAX_GAP words before in both texts.
 4. Alignment: the words around each chain are cut out of both texts and compared: gaps by a
    longest common subsequence, ends extended until the score drops by DROP.  A passage
    of at least ``min_words`` words with enough of them equal is a repeat.
@@ -70,29 +70,6 @@ def _seeds(k: int, window: int):
     return run
 
 
-class _Fenwick:
-    """Prefix maxima of (value, index)."""
-
-    def __init__(self, n: int):
-        self.n, self.best = n, [(-1e18, -1)] * (n + 1)
-
-    def put(self, i: int, value: tuple[float, int]) -> None:
-        i += 1
-        while i <= self.n:
-            if value > self.best[i]:
-                self.best[i] = value
-            i += i & -i
-
-    def upto(self, i: int) -> tuple[float, int]:
-        out = (-1e18, -1)
-        i += 1
-        while i > 0:
-            if self.best[i] > out:
-                out = self.best[i]
-            i -= i & -i
-        return out
-
-
 def chain(x: np.ndarray, y: np.ndarray, k: int, max_gap: int = MAX_GAP) -> list[tuple[int, int, int, int, list[tuple[int, int, int]]]]:
     """Chains of matches (x[i], y[i]) of k words: (x from, x to, y from, y to, runs (x, y, words)).
 
@@ -110,24 +87,21 @@ def chain(x: np.ndarray, y: np.ndarray, k: int, max_gap: int = MAX_GAP) -> list[
     n = len(rx)
     if n == 1:
         return [(rx[0], rx[0] + rl[0], ry[0], ry[0] + rl[0], [(rx[0], ry[0], rl[0])])]
-    ends = sorted({b + m for b, m in zip(ry, rl, strict=True)})
-    place = {e: i for i, e in enumerate(ends)}
-    tree = _Fenwick(len(ends))
     score, prev = [0.0] * n, [-1] * n
     waiting = sorted(range(n), key=lambda i: rx[i] + rl[i])
-    w = 0
-    starts_sorted = np.array(ends)
-    for i in range(n):  # by start in x; runs enter the tree once they end before it
+    w = gone = 0
+    for i in range(n):  # by start in x; only runs that end within max_gap words before it can be joined
         while w < n and rx[waiting[w]] + rl[waiting[w]] <= rx[i]:
-            j = waiting[w]
-            tree.put(place[ry[j] + rl[j]], (score[j] + 0.25 * (rx[j] + rl[j] + ry[j] + rl[j]), j))
             w += 1
-        value, j = tree.upto(int(np.searchsorted(starts_sorted, ry[i], side="right")) - 1)
+        while gone < w and rx[i] - rx[waiting[gone]] - rl[waiting[gone]] > max_gap:
+            gone += 1
         score[i] = float(rl[i])
-        if j >= 0 and rx[i] - rx[j] - rl[j] <= max_gap and ry[i] - ry[j] - rl[j] <= max_gap:
-            joined = value - 0.25 * (rx[i] + ry[i])
-            if joined > 0:
-                score[i], prev[i] = rl[i] + joined, j
+        for j in waiting[gone:w]:
+            gap = ry[i] - ry[j] - rl[j]
+            if 0 <= gap <= max_gap:
+                joined = score[j] - 0.25 * (rx[i] - rx[j] - rl[j] + gap)
+                if joined > 0 and rl[i] + joined > score[i]:
+                    score[i], prev[i] = rl[i] + joined, j
     out, used = [], [False] * n
     for i in sorted(range(n), key=lambda i: (-score[i], i)):
         path = []

@@ -237,6 +237,14 @@ def test_chaining_follows_both_orders():
     assert len(got) == 2
 
 
+def test_a_distant_long_run_does_not_hide_a_near_one():
+    first = np.arange(0, 400, 4)
+    later = np.array([[450, 450], [462, 462], [475, 476], [487, 488], [500, 502]])  # an insertion after each
+    x, y = np.concatenate([first, later[:, 0]]), np.concatenate([first, later[:, 1]])
+    got = substring_dedup.chain(x, y, 8)
+    assert {c[:4] for c in got} == {(0, 404, 0, 404), (450, 508, 450, 510)}
+
+
 def test_alignment_counts_equal_words():
     a = np.arange(100, dtype=np.uint32)
     b = a.copy()
