@@ -1,8 +1,9 @@
 """Language identification with interpolated Kneser-Ney character language models.
 
 Text is lower-cased code point by code point; everything but letters becomes a space.  For each
-language, n-grams up to ORDER are counted on a bounded sample of labelled documents (whole
-documents in the order of a hash, as long as they fit into CHARS characters a language) and turned into
+language, n-grams up to ORDER are counted on a bounded sample of labelled documents (in the order
+of a hash, as long as they fit into CHARS characters a language; of a document longer than a
+SHARE-th of that its beginning) and turned into
 interpolated Kneser-Ney probabilities (one discount an order, continuation counts below the top
 order, uniform over code points at the end).  The n-grams of all languages share one sorted array of 64-bit
 hashes per order with a row of log probabilities, a column a language, plus back-off weights by context.
@@ -32,6 +33,8 @@ ORDER = 4
 CHARS = 1_500_000
 #: Languages, at most (the most frequent ones).
 LANGUAGES = 500
+#: A document gives 1 / SHARE of CHARS at most, so a language has SHARE documents in the sample if it has as many.
+SHARE = 10
 UNDETERMINED = "und"
 _MUL = np.random.default_rng(11).integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _UNIFORM = float(np.log(1 / 0x11000))
@@ -240,8 +243,12 @@ class Model:
 
 
 def training_sample(docs: DataFrame, chars: int = CHARS, languages: int = LANGUAGES) -> DataFrame:
-    """docs: doc_id, text, lang -> at most ``chars`` characters of whole documents of each language, in hash order."""
-    docs = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "text", "lang", F.length("text").alias("_n"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("_u"))
+    """docs: doc_id, text, lang -> at most ``chars`` characters of each language, in hash order.
+
+    A document gives its first chars / SHARE characters at most, so that no long one fills or ends the sample.
+    """
+    part = F.substring("text", 1, max(1, chars // SHARE))
+    docs = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", part.alias("text"), "lang", F.length(part).alias("_n"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("_u"))
     size = docs.groupBy("lang").agg(F.sum("_n").alias("_all")).orderBy(F.desc("_all"), "lang").limit(languages)
     # first a coarse draw of four times the bound, without a sort; then the exact cut inside it
     few = docs.join(F.broadcast(size), "lang").where(F.col("_u") * F.col("_all") <= 4 * chars)

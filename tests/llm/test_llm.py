@@ -369,6 +369,15 @@ def test_languages_are_told_apart(spark):
     assert language_id.identify(odd, language_id.fit(df.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_one_long_document_does_not_empty_the_sample(spark):
+    rows = [(i, "short text " * 5, "aa") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first = df.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))).first()["doc_id"]
+    df = df.withColumn("text", F.when(F.col("doc_id") == first, F.lit("long text " * 1000)).otherwise(F.col("text")))
+    got = language_id.training_sample(df, chars=2000).collect()
+    assert len(got) > 20 and sum(len(r["text"]) for r in got) <= 2000
+
+
 def test_neighbours_in_a_batch_do_not_matter():
     model = language_id.Model({"x": ["hello there world"], "y": ["ola mundo bom"]})
     alone, _ = model.cross_entropy(["world"])
