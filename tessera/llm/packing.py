@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm import common
+from tessera.llm import common, token_counts
 
 BUCKETS = 16
 TOKEN_BUDGET = 16384
@@ -93,8 +93,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
 
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:
-    """Packs documents by their number of words."""
-    return pack(common.cut(docs.select("doc_id", common.n_words("text").alias("length"))), **options)
+    """Packs documents by their number of tokens."""
+    common.bounded_batches(docs.sparkSession)
+    return pack(common.cut(token_counts.with_token_count(docs, count_col="length", id_col="doc_id")), **options)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,16 +42,18 @@ def encoder(folder: str, ranks_file: str, pattern: str | None):
     return tiktoken.Encoding(ranks_file, pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def with_token_count(docs: DataFrame, text_col: str = "text", count_col: str = "n_tokens", folder: str = TOKENIZER_DIR, ranks_file: str = RANKS_FILE, pattern: str | None = None) -> DataFrame:
-    """The number of tokens of each text, as the only column."""
+def with_token_count(docs: DataFrame, text_col: str = "text", count_col: str = "n_tokens", folder: str = TOKENIZER_DIR, ranks_file: str = RANKS_FILE, pattern: str | None = None, id_col: str | None = None) -> DataFrame:
+    """The number of tokens of each text, as the only column or, with id_col, after the ids (longs)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(folder, ranks_file, pattern).encode_ordinary
         for batch in batches:
             lengths = [0 if t is None else len(encode(t)) for t in map(pa.StringScalar.as_py, batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], names=[count_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lengths, pa.int64())], names=[*batch.schema.names[1:], count_col])
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(count, f"{count_col} long")
+    if id_col is None:
+        return docs.select(F.col(text_col).cast("string")).mapInArrow(count, f"{count_col} long")
+    return docs.select(F.col(text_col).cast("string"), F.col(id_col).cast("long")).mapInArrow(count, f"{id_col} long, {count_col} long")
 
 
 def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:

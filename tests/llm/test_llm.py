@@ -311,6 +311,15 @@ def test_every_document_is_packed_once(spark):
     assert packing.pack(df).agg(F.sum("n_docs")).first()[0] == 202
 
 
+def test_documents_are_packed_by_tokens(spark):
+    texts = ["漢字" * 400, "x" * 3000, "plain words of prose here " * 100, None, ""]
+    encode = token_counts.encoder(token_counts.TOKENIZER_DIR, token_counts.RANKS_FILE, None).encode_ordinary
+    got = packing.pack_documents(docs(spark, texts), token_budget=600).collect()
+    assert sorted(i for r in got for i in r["doc_ids"]) == list(range(5))
+    for r in got:
+        assert r["tokens"] == sum(len(encode(texts[i] or "")) for i in r["doc_ids"])
+
+
 # ---------------------------------------------------------------- 6 quality rules
 
 
