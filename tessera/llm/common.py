@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes handled at once by the kernels; longer texts are cut at white space.
 BLOCK = 1 << 20
 
-#: Rows in an Arrow batch of texts.
-BATCH_ROWS = 2000
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder shared by driver and executors; set to a local one only if unset (tests)."""
+    """Folder shared by driver and executors, from the session; only in local mode one of our own where it is unset."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if found:
@@ -29,6 +28,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(found)
         return found
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(f"{tempfile.gettempdir()}/checkpoints/{uuid.uuid4().hex}")
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -39,10 +40,61 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Rows reach Python in Arrow batches of BATCH_ROWS at most, so a worker holds a few MB of texts and not 10,000 of them."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+_stored: list[tuple[SparkSession, str]] = []
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of the shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _remove_stored() -> None:
+    for spark, folder in _stored:
+        try:
+            remove_folder(spark, folder)
+        except Exception:  # noqa: BLE001 - the session has ended already
+            return
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it again: like ``cut``, but columnar and compressed.
+
+    The folder goes when the driver ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    _stored.append((spark, folder))
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """df marked for a broadcast if it has at most so many rows, else as it is; df must be cheap to count (stored or cut)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def free(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from ``columns`` (compared without case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def pieces(batch: pa.RecordBatch, column: int = 0, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts hold about ``limit`` bytes at most; a longer text comes alone."""
+    _, offsets = text_buffer(batch.column(column))
+    at, n = 0, batch.num_rows
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield batch.slice(at, min(end, n) - at)
+        at = end
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -330,7 +330,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     threshold with a probability above 0.9999 at every depth (README has the figures).  block: members that meet in one exact check.
     """
     spark = docs.sparkSession
-    common.bounded_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = common.cut(base.mapInArrow(_describe(k), "doc_id long, n_shingles long, digest binary, sig binary"))
     real = described.where("n_shingles > 0 and doc_id is not null")
