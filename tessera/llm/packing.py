@@ -12,7 +12,8 @@ batch that is not full.  Only the histogram reaches the driver: one row per dist
 so it is bounded by the longest text and not by the number of documents.
 
 Null texts have length 0 and are packed too (boundary 0 needs no padding; a batch of such holds
-``token_budget`` documents).  Repeated rows are packed each.  An empty table gives no batches.
+``token_budget`` documents).  Repeated rows are packed each; rows without doc_id count in n_docs, tokens and padded and are
+left out of doc_ids.  Equal lengths are ordered by doc_id.  An empty table gives no batches.
 """
 
 from __future__ import annotations
@@ -84,7 +85,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
     for b, n in reversed(list(zip(bounds, held, strict=True))):
         boundary = F.when(F.col("length") <= b, F.lit(int(b)).cast("long")).otherwise(boundary)
         shards = F.when(F.col("length") <= b, F.lit(int(n) // shard_rows + 1)).otherwise(shards)
-    rows = docs.withColumns({"boundary": boundary, "shard": F.pmod(F.xxhash64("doc_id"), shards).cast("int")})
+    # rows without doc_id are dealt by their place: they share no shard
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("doc_id"))
+    rows = docs.withColumns({"boundary": boundary, "shard": F.pmod(key, shards).cast("int")})
     order = Window.partitionBy("boundary", "shard").orderBy("doc_id", "length")
     capacity = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest(F.col("boundary"), F.lit(1)))).cast("long")
     rows = rows.withColumn("batch", F.floor((F.row_number().over(order) - 1) / capacity).cast("long"))
@@ -94,7 +97,6 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:
     """Packs documents by their number of tokens."""
-    common.bounded_batches(docs.sparkSession)
     return pack(common.cut(token_counts.with_token_count(docs, count_col="length", id_col="doc_id")), **options)
 
 

@@ -11,8 +11,8 @@ length and task.  Suffix sums over the histogram give, for every context limit L
 and cumulative counts give every quantile.  The sums are made in two levels (blocks of lengths,
 then inside a block), so no window holds all lengths.
 
-Null texts count as empty (0 tokens).  Special-token strings are ordinary text.  An empty table has
-an empty histogram.
+Null texts count as empty (0 tokens).  Special-token strings are ordinary text.  Repeated rows count each.  An
+empty table has an empty histogram.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import common
+
 TOKENIZER_DIR = "/opt/tokenizers"
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 #: Lengths in a block of the two-level sums.
@@ -48,6 +50,7 @@ def with_token_count(docs: DataFrame, text_col: str = "text", count_col: str = "
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(folder, ranks_file, pattern).encode_ordinary
         for batch in batches:
+            # one text at a time: a batch holds 64 MB of them at most, and never all of them as Python strings
             lengths = [0 if t is None else len(encode(t)) for t in map(pa.StringScalar.as_py, batch.column(0))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lengths, pa.int64())], names=[*batch.schema.names[1:], count_col])
 
@@ -58,7 +61,8 @@ def with_token_count(docs: DataFrame, text_col: str = "text", count_col: str = "
 
 def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:
     """A row per distinct length: n_docs, tokens and, from suffix and prefix sums, the answers for the limit L = length."""
-    h = lengths.groupBy(F.col(length_col).alias("length")).agg(F.count("*").alias("n_docs")).withColumn("tokens", F.col("length") * F.col("n_docs"))
+    # cut: texts are encoded once, though the histogram is read twice below
+    h = common.cut(lengths.groupBy(F.col(length_col).alias("length")).agg(F.count("*").alias("n_docs")).withColumn("tokens", F.col("length") * F.col("n_docs")))
     h = h.withColumn("_block", F.floor(F.col("length") / BLOCK_LENGTHS))
     blocks = h.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum("tokens").alias("_t"))
     after = Window.partitionBy(F.lit(1)).orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
