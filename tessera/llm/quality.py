@@ -41,68 +41,64 @@ RULES = (
 LINE_WITH_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _covered(windows: Column, n_words: Column) -> Column:
+def _covered(windows: Column, words: Column) -> Column:
     """Words inside windows (of three) found twice or more; windows: 64-bit hashes by position.
 
-    Hash and position are packed into one long (the low bits hold the position: 10 up to 1,024
-    words, 16 up to 65,536), so a primitive sort brings equal windows together; longer texts sort pairs.
+    The upper half of a hash and the position are packed into one long, so that a primitive sort brings equal windows
+    together.  It only chooses candidates: those go on to a sort by their words, and windows are equal if the words are.
     """
-
-    def total(places: Column) -> Column:
-        start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
-        step = lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3).cast("long"), i - acc["last"])).alias("n"))
-        return F.aggregate(F.array_sort(places), start, step, lambda acc: acc["n"])
+    low = (1 << 32) - 1
+    rows = F.sort_array(F.transform(windows, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
 
     def bind(value: Column, use) -> Column:
         """use(value) with the value computed once."""
         return F.element_at(F.transform(F.array(value), use), 1)
 
-    def packed(bits: int) -> Column:
-        low = (1 << bits) - 1
-        rows = F.sort_array(F.transform(windows, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
-
-        def use(r: Column) -> Column:
-            # two hashes are equal if the rows differ in the low bits alone
-            like = lambda x, j: F.coalesce(x.bitwiseXOR(F.get(r, j)).between(0, low), F.lit(False))
-            twice = F.filter(r, lambda x, j: like(x, j + 1) | like(x, j - 1))
-            return F.when(F.size(twice) > 0, total(F.transform(twice, lambda x: x.bitwiseAND(F.lit(low))))).otherwise(0)
+    def total(places: Column) -> Column:
+        start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+        step = lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3).cast("long"), i - acc["last"])).alias("n"))
+        return F.aggregate(F.array_sort(places), start, step, lambda acc: acc["n"])
 
-        return bind(rows, use)
+    def twice(r: Column, equal) -> Column:
+        """Items of a sorted array that are equal to the one before or after."""
+        like = lambda x, j: F.coalesce(equal(x, F.get(r, j)), F.lit(False))
+        return F.filter(r, lambda x, j: like(x, j + 1) | like(x, j - 1))
 
-    def pairs() -> Column:
-        rows = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))
-        like = lambda r, x, j: F.coalesce(F.get(r, j)["h"] == x["h"], F.lit(False))
-        return bind(rows, lambda r: total(F.transform(F.filter(r, lambda x, j: like(r, x, j + 1) | like(r, x, j - 1)), lambda x: x["i"])))
+    def confirmed(candidates: Column) -> Column:
+        word = lambda x, k: F.get(words, x.bitwiseAND(F.lit(low)).cast("int") + k)
+        spelled = F.sort_array(F.transform(candidates, lambda x: F.struct(word(x, 0).alias("a"), word(x, 1).alias("b"), word(x, 2).alias("c"), x.bitwiseAND(F.lit(low)).alias("i"))))
+        equal = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        return bind(spelled, lambda r: total(F.transform(twice(r, equal), lambda x: x["i"])))
 
-    return F.when(n_words <= 1024, packed(10)).when(n_words <= 65536, packed(16)).otherwise(pairs())
+    candidates = bind(rows, lambda r: twice(r, lambda x, y: x.bitwiseXOR(y).between(0, low)))
+    return bind(candidates, lambda c: F.when(F.size(c) > 0, confirmed(c)).otherwise(0))
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the measures as further long columns (existing columns of those names are replaced)."""
+    """docs with the measures as further long columns (existing columns of those names are replaced; all others stay)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_shouts"]
     df = docs.drop(*[c for c in docs.columns if c in names and c != text_col])
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(LINE_WITH_WORD))
-    df = df.withColumns({"_words": words, "_lines": lines})
+    words, lines, hashes, stops, windows = common.free([*df.columns, *names], "words", "lines", "hashes", "stops", "windows")
+    df = df.withColumns({words: F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), lines: F.filter(F.split(text, "\n"), lambda x: x.rlike(LINE_WITH_WORD))})
     stop = [f(w) for w in STOP_WORDS for f in (str.lower, str.capitalize, str.upper)]
-    df = df.withColumns({"_hashes": F.transform("_words", lambda w: F.xxhash64(w)), "_stops": F.filter("_words", lambda w: w.isin(stop))})
-    tail = lambda k: F.slice("_hashes", k + 1, F.size("_hashes"))
-    windows = F.transform(F.slice(F.arrays_zip("_hashes", tail(1), tail(2)), 1, F.greatest(F.size("_hashes") - 2, F.lit(0))), lambda z: F.xxhash64(z))
+    df = df.withColumns({hashes: F.transform(words, lambda w: F.xxhash64(w)), stops: F.filter(words, lambda w: w.isin(stop))})
+    tail = lambda k: F.slice(hashes, k + 1, F.size(hashes))
+    triples = F.transform(F.slice(F.arrays_zip(F.col(hashes), tail(1), tail(2)), 1, F.greatest(F.size(hashes) - 2, F.lit(0))), lambda z: F.xxhash64(z))
     df = df.withColumns(
         {
-            "n_words": F.size("_words"),
-            "word_chars": F.length(F.array_join("_words", "")),
+            "n_words": F.size(words),
+            "word_chars": F.length(F.array_join(words, "")),
             "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
-            "n_lines": F.size("_lines"),
-            "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-            "n_stop_words": F.size("_stops"),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_stop_words": F.size(stops),
             "n_shouts": ((F.length(text) - F.length(F.replace(text, F.lit("!!"), F.lit("")))) / 2).cast("long"),
-            "_windows": windows,
+            windows: triples,
         }
     )
-    df = df.withColumn("n_repeat_words", F.when(F.size("_windows") > 1, _covered(F.col("_windows"), F.size("_words"))).otherwise(0))
-    return df.withColumns({n: F.col(n).cast("long") for n in names}).drop("_words", "_lines", "_hashes", "_stops", "_windows")
+    df = df.withColumn("n_repeat_words", F.when(F.size(windows) > 1, _covered(F.col(windows), F.col(words))).otherwise(0))
+    return df.withColumns({n: F.col(n).cast("long") for n in names}).drop(words, lines, hashes, stops, windows)
 
 
 def judge(measured: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
