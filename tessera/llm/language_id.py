@@ -15,12 +15,14 @@ texts) is rejected.  The confidence is a softmax of the cross-entropies whose te
 fitted on the same fifth.
 
 Null texts and texts without a letter get ``und`` and score 0.  Ties go to the language that
-sorts first.  Without labelled documents every text gets ``und``.
+sorts first.  Without labelled documents every text gets ``und``.  Repeated rows are judged each; rows
+without doc_id too, but they are neither learned from nor held out.
 """
 
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import common
+
 ORDER = 4
 #: Characters of labelled text a language that models are fitted on, at most.
 CHARS = 1_500_000
-#: Languages, at most (the most frequent ones).
-LANGUAGES = 500
+#: Characters of labelled text in all: with more languages than fit, each has an equal share.
+TOTAL_CHARS = 200_000_000
 #: A document gives 1 / SHARE of CHARS at most, so a language has SHARE documents in the sample if it has as many.
 SHARE = 10
 UNDETERMINED = "und"
@@ -41,24 +45,24 @@ _UNIFORM = float(np.log(1 / 0x11000))
 
 
 @functools.lru_cache(maxsize=1)
-def _lower() -> tuple[np.ndarray, np.ndarray]:
-    """Code point -> lower-cased letter or space; code point -> is a letter."""
-    table, letter = np.full(0x110000, 32, np.uint32), np.zeros(0x110000, bool)
+def _lower() -> np.ndarray:
+    """Code point -> lower-cased letter, combining mark (vowel signs and accents are part of words) or space."""
+    table = np.full(0x110000, 32, np.uint32)
     for c in range(0x32400):
         ch = chr(c)
         if ch.isalpha():
             low = ch.lower()
             table[c] = ord(low) if len(low) == 1 else c
-            letter[c] = True
-    return table, letter
+        elif unicodedata.category(ch)[0] == "M":
+            table[c] = c
+    return table
 
 
 def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Folded code points of all texts with ORDER spaces before each; places to score; text of each place."""
     pad = "\n" * ORDER
     raw = np.frombuffer((pad + pad.join(texts) + pad).encode("utf-32-le", "surrogatepass"), np.uint32)
-    table, _ = _lower()
-    c = table[raw]
+    c = _lower()[raw]
     letter = c != 32
     score = letter.copy()
     score[1:] |= letter[:-1]  # letters and the space after a word
@@ -233,6 +237,7 @@ class Model:
             n = len(texts)
             return np.full(n, UNDETERMINED, object), np.zeros(n), np.zeros(n), np.ones(n, bool)
         e, n = self.cross_entropy(texts)
+        n[[i for i, t in enumerate(texts) if not any(map(str.isalpha, t or ""))]] = 0  # marks alone are no letters
         best = e.argmin(axis=1)
         own = e[np.arange(len(e)), best]
         score = 1 / np.exp(-(e - own[:, None]) * self.temperature).sum(axis=1)
@@ -242,25 +247,27 @@ class Model:
         return names, score, own, rejected
 
 
-def training_sample(docs: DataFrame, chars: int = CHARS, languages: int = LANGUAGES) -> DataFrame:
-    """docs: doc_id, text, lang -> at most ``chars`` characters of each language, in hash order.
+def training_sample(docs: DataFrame, chars: int = CHARS, total: int = TOTAL_CHARS) -> DataFrame:
+    """docs: doc_id, text, lang -> at most ``chars`` characters of each language, in hash order, and ``total`` in all.
 
-    A document gives its first chars / SHARE characters at most, so that no long one fills or ends the sample.
+    A document gives its first chars / SHARE characters at most, so that no long one fills or ends the sample and every
+    language with a labelled text has one in it.
     """
-    part = F.substring("text", 1, max(1, chars // SHARE))
-    docs = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", part.alias("text"), "lang", F.length(part).alias("_n"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("_u"))
-    size = docs.groupBy("lang").agg(F.sum("_n").alias("_all")).orderBy(F.desc("_all"), "lang").limit(languages)
+    docs = docs.where("text is not null and text <> '' and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
+    most = max(SHARE, min(chars, total // max(1, docs.select("lang").distinct().count())))
+    part = F.substring("text", 1, most // SHARE)
+    docs = docs.select("doc_id", part.alias("text"), "lang", F.length(part).alias("_n"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("_u"))
+    size = docs.groupBy("lang").agg(F.sum("_n").alias("_all"), F.min("_u").alias("_first"))
     # first a coarse draw of four times the bound, without a sort; then the exact cut inside it
-    few = docs.join(F.broadcast(size), "lang").where(F.col("_u") * F.col("_all") <= 4 * chars)
-    so_far = F.sum("_n").over(Window.partitionBy("lang").orderBy("_u", "doc_id", "_n").rowsBetween(Window.unboundedPreceding, 0))
-    ids = few.select("lang", "doc_id", "_n", "_u").withColumn("_sum", so_far).where(F.col("_sum") <= chars)
-    return few.join(F.broadcast(ids.select("lang", "doc_id", "_n")), ["lang", "doc_id", "_n"], "left_semi").select("doc_id", "text", "lang", "_u")
+    few = docs.join(size, "lang").where((F.col("_u") * F.col("_all") <= 4 * most) | (F.col("_u") == F.col("_first")))
+    so_far = F.sum("_n").over(Window.partitionBy("lang").orderBy("_u", "doc_id", "_n", "text").rowsBetween(Window.unboundedPreceding, 0))
+    return few.withColumn("_sum", so_far).where(F.col("_sum") <= most).select("doc_id", "text", "lang", "_u")
 
 
 def fit(docs: DataFrame, chars: int = CHARS) -> Model:
-    """docs: doc_id, text, lang.  At most ``chars`` characters a language reach the driver."""
+    """docs: doc_id, text, lang.  At most ``chars`` characters a language, and TOTAL_CHARS in all, reach the driver."""
     rows = training_sample(docs, chars).collect()
-    rows.sort(key=lambda r: (r["lang"], r["_u"], r["doc_id"]))
+    rows.sort(key=lambda r: (r["lang"], r["_u"], r["doc_id"], r["text"]))
     count: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
     for i, r in enumerate(rows):
@@ -276,7 +283,7 @@ def identify(docs: DataFrame, model: Model, reject: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in common.pieces(whole, 1)):
             names, score, entropy, rejected = own.predict(batch.column(1).to_pylist())
             if reject:
                 names[rejected] = UNDETERMINED
@@ -287,7 +294,7 @@ def identify(docs: DataFrame, model: Model, reject: bool = True) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    fold = F.crc32(F.col("doc_id").cast("string")) % 4
-    model = fit(docs.where(fold != 2).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = fit(docs.where(~held_out).select("doc_id", "text", "lang"))
     found = identify(docs.select("doc_id", "text"), model, reject=False)
-    return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
