@@ -11,8 +11,8 @@ documents (the SAMPLE rows with the smallest hash), the smoothed log odds of bei
 document; entries need enough toxic documents and a high ratio.  Two features of a text, log(1 +
 weight) and log(1 + weight per LENGTH words), go into a logistic function fitted on the same sample.
 
-Null, empty and wordless texts score as texts without a hit.  Missing labels are ignored; without any
-positive label the built-in seed lexicon is used with preset weights.
+Null, empty and wordless texts score as texts without a hit.  Labels other than 0 and 1 are ignored; without any
+positive or any negative label the built-in seed lexicon is used with preset weights.  Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import common
+
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 12_000
 #: Lexicon entries, at most; the strongest stay.
@@ -166,7 +168,7 @@ class Model:
 def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic) -> documents that hold a word (w) or a word that starts so (w*), by label; a sum a task."""
     counts: dict[str, list[int]] = {}
-    for batch in batches:
+    for batch in (part for whole in batches for part in common.pieces(whole)):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             folded, _, is_letter = fold_texts([text or ""])
             change = np.flatnonzero(np.diff(np.concatenate([[False], is_letter]).astype(np.int8)))
@@ -179,12 +181,13 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, min_docs: int = 8, max_entries: int = MAX_ENTRIES) -> Model:
-    """labelled: doc_id, text, toxic (0 or 1; nulls are ignored).  Reads at most ``sample`` rows, picked by hash."""
-    picked = labelled.where("toxic is not null and doc_id is not null").withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(sample).select("text", F.col("toxic").cast("int").alias("toxic"))
+    """labelled: doc_id, text, toxic (0 or 1; all else is ignored).  Reads at most ``sample`` rows, picked by hash."""
     spark = labelled.sparkSession
-    from tessera.llm import common
-
-    common.bounded_batches(spark)
+    labelled = labelled.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    if labelled.count() > sample:  # the sample is drawn before texts move
+        ids = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        labelled = labelled.join(F.broadcast(ids), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    picked = labelled.select("text", "toxic")
     picked = common.cut(picked.repartition(common.shuffle_partitions(spark)))
     n = {int(r["toxic"]): r["count"] for r in picked.groupBy("toxic").count().collect()}
     nt, nc = n.get(1, 0), n.get(0, 0)
@@ -208,7 +211,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, min_docs: int = 8, max_entrie
     model = Model(entries)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in common.pieces(whole)):
             weight, _, words = lexicon_weights(batch.column(0).to_pylist(), model.entries, model.exceptions)
             yield pa.RecordBatch.from_arrays([pa.array(weight), pa.array(words), batch.column(1).cast(pa.int64())], names=["weight", "words", "toxic"])
 
@@ -231,8 +234,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                own = batch.slice(at, 256)
+            for own in common.pieces(batch, 1):
                 score, hits = model.score(own.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(hits)], names=["doc_id", "score", "predicted", "n_hits"])
 
@@ -241,7 +243,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def labelled_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxic label outside the held-out fold."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null").select(F.col("doc_id").alias("_id"), "toxic")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic in (0, 1)").select(F.col("doc_id").alias("_id"), "toxic")
     labels = labels.where(F.crc32(F.col("_id").cast("string")) % 5 != 0)
     # the sample is drawn before texts are read: no text outside it moves
     labels = labels.withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(SAMPLE).drop("_h")
@@ -264,5 +266,5 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(labelled_documents(spark, docs, sf_dir))
-    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out")
     return score_documents(docs, model).select("doc_id", held_out, "score", "predicted", "n_hits")
