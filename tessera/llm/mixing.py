@@ -13,8 +13,8 @@ whole: ranks are first counted in BINS bins of a source, then only the one bin i
 target falls is ordered.
 
 Null texts have size 0 and are taken 0 times.  A null source is a source of its own, after all
-others.  Repeated rows are rows of their own; ties in rank are broken by doc_id, size and text hash.  With no
-documents, or sizes that are all 0, the result has no taken words.
+others.  Repeated rows are rows of their own; ties in rank are broken by doc_id and size, and rows that agree
+in both can stand for each other.  With no documents, or sizes that are all 0, the result has no taken words.
 """
 
 from __future__ import annotations
@@ -55,48 +55,49 @@ def source_targets(sizes: DataFrame, shares: Sequence[float] = SHARES, share_of_
 def pareto_mix(docs: DataFrame, shares: Sequence[float] = SHARES, share_of_all: float = 1.0, max_copies: float = 3.0, seed: str = "mix", weight_col: str | None = None) -> DataFrame:
     """docs: doc_id, size, source and any others -> the same rows plus source_size, target, copies (long).
 
-    The rows given in must be cheap to make again (or cut): they are read three times.
+    Columns of these three names are replaced; all others may have any names.  The rows given in must be cheap to make
+    again (or cut): they are read three times.
     """
-    spark = docs.sparkSession
+    docs = docs.drop("source_size", "target", "copies")
+    src, sure, p, q, bin_, edge_, missing, share, mean = common.free([*docs.columns, "source_size", "target", "copies"], "src", "sure", "p", "q", "bin", "edge", "missing", "share", "mean")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, shares, share_of_all, max_copies)
+    targets = source_targets(sizes, shares, share_of_all, max_copies).withColumnsRenamed({"source": src, "share": share})
+    factor = F.lit(1.0)
     if weight_col:
-        mean = docs.groupBy("source").agg((F.sum(F.col(weight_col) * F.col("size")) / F.sum("size")).alias("mean_weight"))
-        targets = targets.join(mean, targets["source"].eqNullSafe(mean["source"])).select(targets["*"], "mean_weight")
-        factor = F.col(weight_col) / F.col("mean_weight")
-    else:
-        factor = F.lit(1.0)
-    targets = common.cut(targets.withColumnRenamed("source", "_source"))
-    rows = docs.join(targets, docs["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
+        means = docs.groupBy("source").agg((F.sum(F.col(weight_col) * F.col("size")) / F.sum("size")).alias(mean))
+        targets = targets.join(means, targets[src].eqNullSafe(means["source"])).select(targets["*"], mean)
+        factor = F.col(weight_col) / F.col(mean)
+    targets = common.cut(targets)
+    rows = docs.join(targets, docs["source"].eqNullSafe(F.col(src)), "left").drop(src)
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     e = F.least(F.lit(float(max_copies)), f * factor)
     u = common.uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed)
-    rows = rows.withColumn("_sure", F.when(F.col("size") > 0, F.floor(e)).otherwise(0).cast("long")).withColumn("_p", F.when(F.col("size") > 0, e - F.floor(e)).otherwise(0.0))
-    odds = F.when(F.col("_p") > 0, (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p"))))
-    rows = rows.withColumn("_q", odds)
+    rows = rows.withColumns({sure: F.when(F.col("size") > 0, F.floor(e)).otherwise(0).cast("long"), p: F.when(F.col("size") > 0, e - F.floor(e)).otherwise(0.0)})
+    rows = rows.withColumn(q, F.when(F.col(p) > 0, (u / (1 - u)) / (F.col(p) / (1 - F.col(p)))))
     # q / (1 + q) is inside (0, 1) and rises with q
-    rows = rows.withColumn("_bin", F.when(F.col("_q").isNotNull(), F.floor(F.col("_q") / (1 + F.col("_q")) * BINS)).cast("int"))
-    per_bin = rows.groupBy("source", "_bin").agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("_sure")).alias("sure"), F.max("target").alias("target"))
-    up_to = Window.partitionBy("source").orderBy(F.col("_bin").asc_nulls_first())
+    rows = rows.withColumn(bin_, F.when(F.col(q).isNotNull(), F.floor(F.col(q) / (1 + F.col(q)) * BINS)).cast("int"))
+    per_bin = rows.groupBy("source", bin_).agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col(sure)).alias("sure"), F.max("target").alias("target"))
+    up_to = Window.partitionBy("source").orderBy(F.col(bin_).asc_nulls_first())  # BINS + 1 rows a source at most
     whole = Window.partitionBy("source")
     marks = (
         per_bin.withColumn("want", F.col("target") - F.sum("sure").over(whole))
-        .where("_bin is not null")
+        .where(F.col(bin_).isNotNull())
         .withColumn("upto", F.sum("words").over(up_to))
         .where("upto >= want")
         .groupBy("source")
-        .agg(F.min_by(F.struct("_bin", (F.col("want") - F.col("upto") + F.col("words")).alias("missing")), "_bin").alias("edge"))
-        .select(F.col("source").alias("_source"), F.col("edge._bin").alias("_edge"), F.col("edge.missing").alias("_missing"))
+        .agg(F.min_by(F.struct(F.col(bin_).alias("bin"), (F.col("want") - F.col("upto") + F.col("words")).alias("missing")), bin_).alias("edge"))
+        .select(F.col("source").alias(src), F.col("edge.bin").alias(edge_), F.col("edge.missing").alias(missing))
     )
     marks = common.cut(marks)
-    rows = rows.join(marks, rows["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
-    clear = rows.where("_q is null or _edge is null or _bin <> _edge").withColumn("copies", F.col("_sure") + F.when(F.col("_q").isNotNull() & (F.col("_edge").isNull() | (F.col("_bin") < F.col("_edge"))), 1).otherwise(0))
-    order = Window.partitionBy("source").orderBy("_q", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(marks, rows["source"].eqNullSafe(F.col(src)), "left").drop(src)
+    at_edge = F.coalesce(F.col(bin_) == F.col(edge_), F.lit(False))
+    below = F.col(q).isNotNull() & (F.col(edge_).isNull() | (F.col(bin_) < F.col(edge_)))
+    clear = rows.where(~at_edge).withColumn("copies", F.col(sure) + below.cast("int"))
+    order = Window.partitionBy("source").orderBy(q, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     gone = F.coalesce(F.sum("size").over(order), F.lit(0))
     # taken while that brings the words nearer to the target
-    edge = rows.where("_q is not null and _bin = _edge").withColumn("copies", F.col("_sure") + F.when(F.col("_missing") - gone >= F.col("size") / 2, 1).otherwise(0))
-    hidden = ["_sure", "_p", "_q", "_bin", "_edge", "_missing", "share", "mean_weight"]
-    return clear.unionByName(edge).withColumn("copies", F.col("copies").cast("long")).drop(*[h for h in hidden if h not in docs.columns])
+    edge = rows.where(at_edge).withColumn("copies", F.col(sure) + F.when(F.col(missing) - gone >= F.col("size") / 2, 1).otherwise(0))
+    return clear.unionByName(edge).withColumn("copies", F.col("copies").cast("long")).drop(sure, p, q, bin_, edge_, missing, share, mean)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -109,10 +110,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs (doc_id unique), each as often as the mix takes it; same columns."""
-    copies = pareto_mix(_sized(docs), **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[joined[c] for c in docs.columns])
+    """The rows of docs (with doc_id, text, source), each as often as the mix takes it; same columns, of any names.
+
+    Rows that agree in doc_id, source and text are one unit of their joint size: each of them comes as often as the others.
+    """
+    source, text = F.col("source").cast("string"), F.xxhash64(F.col("text").cast("string"))
+    units = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), text.alias("text")).agg(F.sum(common.n_words(F.col("text"))).alias("size"))
+    taken = pareto_mix(common.cut(units), **options).where("copies > 0")
+    key_id, key_source, key_text, copies, copy = common.free(docs.columns, "key_id", "key_source", "key_text", "copies", "copy")
+    taken = taken.select(F.col("doc_id").alias(key_id), F.col("source").alias(key_source), F.col("text").alias(key_text), F.col("copies").alias(copies))
+    same = F.col(key_id).eqNullSafe(docs["doc_id"].cast("long")) & F.col(key_source).eqNullSafe(docs["source"].cast("string")) & F.col(key_text).eqNullSafe(F.xxhash64(docs["text"].cast("string")))
+    joined = docs.join(taken, same)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[joined[f"`{c}`"] for c in docs.columns])
 
 
 OP10_SQL = """
