@@ -191,67 +191,6 @@ def test_urls_without_rules(spark):
     assert url_filter.judge_urls(df.limit(0), url_filter.rules_table(spark)).count() == 0
 
 
-# ---------------------------------------------------------------- 3 substring dedup
-
-
-def test_shared_passages_are_found_and_clean_texts_are_not(spark):
-    rng = random.Random(5)
-    passage = prose(rng, 70, 5000).split()
-    fuzzy = passage[:35] + ["changed"] + passage[36:]
-    texts = [prose(rng, 60, 5000) + " " + " ".join(p) + " " + prose(rng, 40, 5000) for p in (passage, passage, fuzzy)]
-    texts += [prose(rng, 150, 5000) for _ in range(5)] + [*EDGES, " ".join(passage[:30])]
-    got = substring_dedup.repeated_passages(docs(spark, texts)).collect()
-    assert {(r["doc_id"], r["source_id"]) for r in got} == {(1, 0), (2, 0)}
-    for r in got:
-        assert abs(r["start_word"] - 60) <= 2 and abs(r["n_words"] - 70) <= 3
-        assert r["identity"] == 1.0 or r["doc_id"] == 2
-    cut = {r["doc_id"]: r for r in substring_dedup.remove_passages(docs(spark, texts), substring_dedup.repeated_passages(docs(spark, texts))).collect()}
-    assert cut[0]["text"] == texts[0] and cut[3]["text"] == texts[3]
-    assert 95 <= len(words(cut[1]["text"])) <= 103 and cut[1]["n_chars"] == len(cut[1]["text"])
-    assert set(cut) == set(range(len(texts)))
-
-
-def brute_best_chain(points, k, gap):
-    """Best score over all orders by plain quadratic dynamic programming on single matches joined along diagonals."""
-    best = 0.0
-    points = sorted(points)
-    score = []
-    for i, (x, y) in enumerate(points):
-        s = float(k)
-        for j in range(i):
-            px, py = points[j]
-            dx, dy = x - px - k, y - py - k
-            if 0 <= dx <= gap and 0 <= dy <= gap:
-                s = max(s, score[j] + k - 0.25 * (dx + dy))
-        score.append(s)
-        best = max(best, s)
-    return best
-
-
-def test_chaining_follows_both_orders():
-    x = np.array([0, 10, 20, 30, 5])
-    y = np.array([0, 12, 23, 35, 90])
-    got = substring_dedup.chain(x, y, 5)
-    assert got[0][:4] == (0, 35, 0, 40)
-    assert sum(r[2] for r in got[0][4]) - 0.25 * sum((b[0] - a[0] - a[2]) + (b[1] - a[1] - a[2]) for a, b in zip(got[0][4], got[0][4][1:], strict=False)) == pytest.approx(brute_best_chain(list(zip(x.tolist(), y.tolist(), strict=True)), 5, 40))
-    assert len(got) == 2
-
-
-def test_a_distant_long_run_does_not_hide_a_near_one():
-    first = np.arange(0, 400, 4)
-    later = np.array([[450, 450], [462, 462], [475, 476], [487, 488], [500, 502]])  # an insertion after each
-    x, y = np.concatenate([first, later[:, 0]]), np.concatenate([first, later[:, 1]])
-    got = substring_dedup.chain(x, y, 8)
-    assert {c[:4] for c in got} == {(0, 404, 0, 404), (450, 508, 450, 510)}
-
-
-def test_alignment_counts_equal_words():
-    a = np.arange(100, dtype=np.uint32)
-    b = a.copy()
-    b[50] = 999
-    assert substring_dedup.align(a, b, [(20, 20, 10), (60, 60, 10)]) == (0, 100, 0, 100, 99)
-
-
 # ---------------------------------------------------------------- 4 token counts, 5 packing
 
 
@@ -350,18 +289,49 @@ def test_rules_are_a_table(spark):
 # ---------------------------------------------------------------- 7 language id
 
 
-def test_kneser_ney_sums_to_one():
-    model = language_id.Model({"x": ["abcab abc ab ba"], "y": ["ccc cba"]})
-    letters = sorted({c for t in ("abcab abc ab ba", "ccc cba") for c in t})
-    total = 0.0
-    for c in letters:
-        e1, n1 = model.cross_entropy(["ab" + c if c != " " else "ab"])
-        e0, n0 = model.cross_entropy(["ab"])
-        if c != " ":
-            assert n1[0] == n0[0] + 1
-        total += np.exp(-(e1[0, 0] * n1[0] - e0[0, 0] * n0[0])) if c == "c" else 0
-    assert 0 < total < 1
-    assert (np.exp(model.logp[1]).sum(axis=0) < 1.0 + 1e-6).all()
+def brute_kneser_ney(text):
+    """p(c, context) of a naive model of one language: dictionaries of strings."""
+    order = language_id.ORDER
+    c = "".join(chr(x) for x in language_id._stream([text])[0])
+    grams = [c[i - order + 1 : i + 1] for i in language_id._stream([text])[1]]
+    counts = {order: {}}
+    for g in grams:
+        counts[order][g] = counts[order].get(g, 0) + 1
+    for n in range(order - 1, 0, -1):
+        counts[n] = {}
+        for g in counts[n + 1]:
+            counts[n][g[1:]] = counts[n].get(g[1:], 0) + 1
+
+    def p(letter, context):
+        n = len(context) + 1
+        lower = p(letter, context[1:]) if n > 1 else 1 / 0x11000
+        once, twice = (sum(v == k for v in counts[n].values()) for k in (1, 2))
+        d = min(max(once / (once + 2 * twice) if once + 2 * twice else 0.5, 0.1), 0.95)
+        own = {g: v for g, v in counts[n].items() if g[:-1] == context}
+        total = sum(own.values())
+        if n > 1 and context not in counts[n - 1]:  # a context that was never predicted (a run of spaces) has no counts
+            return lower
+        return lower if not total else max(own.get(context + letter, 0) - d, 0) / total + d * len(own) / total * lower
+
+    return p
+
+
+def test_model_equals_naive_kneser_ney():
+    text = "abcab abc ab ba cab bac"
+    model, p = language_id.Model({"x": [text]}), brute_kneser_ney(text)
+    for asked in ("abc ab", "cab", "zab qa", "b"):
+        c, places, _ = language_id._stream([asked])
+        c = "".join(map(chr, c))
+        expected = -sum(np.log(p(c[i], c[i - language_id.ORDER + 1 : i])) for i in places)
+        e, n = model.cross_entropy([asked])
+        assert n[0] == len(places) and e[0, 0] * n[0] == pytest.approx(expected, rel=1e-4)
+
+
+def test_naive_kneser_ney_sums_to_one():
+    p = brute_kneser_ney("abcab abc ab ba cab bac")
+    for context in ("", "a", "ab", "zz", "b c", " ab"):
+        seen = sum(p(c, context) for c in "abc \n")
+        assert seen + (0x11000 - 5) * p("z", context) == pytest.approx(1.0)
 
 
 def test_languages_are_told_apart(spark):
@@ -394,9 +364,54 @@ def test_neighbours_in_a_batch_do_not_matter():
     assert np.allclose(alone[0], beside[1])
 
 
+def test_marks_long_and_repeated_texts_and_null_ids(spark):
+    rows = [(i, "नमस्ते दुनिया " * 9 if i % 2 else "hello world again " * 9, "hi" if i % 2 else "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    asked = [(1, "नमस्ते"), (1, "नमस्ते"), (None, "hello"), (2, "\u0301\u0301"), (3, "hello world " * 400_000)]
+    got = language_id.identify(spark.createDataFrame(asked, "doc_id long, text string"), model, reject=False).collect()
+    assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in got) == [(0, "en"), (1, "hi"), (1, "hi"), (2, "und"), (3, "en")]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 50, f"l{i:03d}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.training_sample(df, total=120 * 20).collect()
+    assert len({r["lang"] for r in got}) == 120 and sum(len(r["text"]) for r in got) <= 120 * 20
+
+
 # ---------------------------------------------------------------- 8 toxicity
 
 
+def naive_hits(text, entries, exceptions):
+    """Weights of the entries that words of plain a-z text match, without those inside an exception."""
+    spans = [m.span() for x in exceptions for m in re.finditer(rf"(?<![a-z]){x}(?![a-z])", text)]
+    weights = []
+    for m in re.finditer("[a-z]+", text):
+        fits = [(len(e.rstrip("*")), w) for e, w in entries.items() if (m[0].startswith(e[:-1]) if e.endswith("*") else m[0] == e)]
+        if fits and not any(a <= m.start() and m.start() + max(fits)[0] <= b for a, b in spans):
+            weights.append(max(fits)[1])
+    return sum(weights), len(weights)
+
+
+@given(st.lists(st.lists(st.sampled_from(["trash", "can", "trashy", "scum", "scumbag", "bad", "badly", "x", "ban"]), max_size=12).map(" ".join), max_size=5))
+@settings(max_examples=100, deadline=None)
+def test_matches_equal_a_naive_matcher(texts):
+    entries, exceptions = {"trash": 2.0, "scum*": 4.0, "bad*": 1.0, "badly": 3.0}, ["trash can", "bad x"]
+    model = toxicity.Model(entries, exceptions)
+    weight, hits, words = toxicity.lexicon_weights(texts, model.entries, model.exceptions)
+    assert [(w, h) for w, h in zip(weight, hits, strict=True)] == [naive_hits(t, entries, exceptions) for t in texts]
+    assert words.tolist() == [len(t.split()) for t in texts]
+
+
+def test_odd_labels_are_ignored(spark):
+    rows = [(i, "you blargh person" if i % 2 else "a kind person", v) for i, v in enumerate([0, 1] * 20 + [2, -1, None])]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert model.score(["you blargh"])[0][0] > model.score(["a kind"])[0][0]
+    long = spark.createDataFrame([(1, "word " * 2_000_000), (None, None), (1, "")], "doc_id long, text string")
+    assert toxicity.score_documents(long, model).count() == 3
+
+
 def test_folding_and_exceptions():
     model = toxicity.Model({"idiot": 4.0, "scum": 4.0, "trash": 2.0, "bomen*": 3.0})
     texts = ["you IDIOT", "you 1d10t", "you ｉｄｉｏｔ", "you іdіоt", "idiotic scumbag", "in the trash can", "pure trash", "bomento x", "xbomento", "sc\u00famm", None, "", "12345"]
@@ -425,21 +440,68 @@ def test_lexicon_is_learned(spark):
 # ---------------------------------------------------------------- 9 fingerprints
 
 
-@given(st.text(alphabet="ab. \n!é", max_size=120))
-@settings(max_examples=100, deadline=None)
-def test_leaves_cover_the_text(text):
-    assert sum(n for s in merkle.tree(text) for p in s for _, n in p) == len(text)
-    fp = merkle.fingerprint(text)
-    assert merkle.likeness(fp, fp) == 1.0
-    assert merkle.fingerprint(text + "x") != fp
+def pieces(text):
+    """Naive cut: sections -> paragraphs -> sentences (no text of these tests has a sentence that is too long)."""
+    sections = re.findall(r"(?:[^\n]|\n(?!\n))*(?:\n{2,}|\Z)", text)
+    return [[re.findall(r"(?:[^.!?]|(?<=^)[.!?])*?[^.!?]*[.!?]+\s*|[^.!?]+\Z", p) for p in re.findall(r"[^\n]*(?:\n+|\Z)", s) if p] for s in sections if s]
+
+
+def brute_likeness(a, b):
+    """Twice the characters in common nodes over all: sections first, then paragraphs of what is left, then sentences."""
+    if a == b:
+        return 1.0
+    left, right = pieces(a), pieces(b)
+    both = 0
+    for down in (lambda nodes: [p for s in nodes for p in s], lambda nodes: [x for p in nodes for x in p], None):
+        for node in list(left):
+            if node in right:
+                right.remove(node)
+                left.remove(node)
+                both += len(flat(node))
+        if down:
+            left, right = down(left), down(right)
+    return min(2 * both / (len(a) + len(b)), 0.999999) if a or b else 1.0
+
+
+def flat(node):
+    return node if isinstance(node, str) else "".join(map(flat, node))
+
+
+@given(st.lists(st.text(alphabet="ab. \n!é", max_size=120), min_size=1, max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_leaves_cover_the_texts(texts):
+    prints = merkle.fingerprint_many(texts)
+    for text, fp in zip(texts, prints, strict=True):
+        assert fp == merkle.fingerprint(text)
+        nodes, _ = merkle._nodes([fp])
+        assert nodes["size"].sum() == len(text)
+        assert merkle.likeness(fp, fp) == 1.0
+        assert merkle.fingerprint(text + "x") != fp
+
+
+PARTS = ["One here. ", "Two! ", "Three.\n", "Four five.\n\n", "Six.", "Se ven? "]
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=9), st.lists(st.sampled_from(PARTS), max_size=9))
+@settings(max_examples=150, deadline=None)
+def test_likeness_equals_brute_force(a, b):
+    a, b = "".join(a), "".join(b)
+    assert flat(pieces(a)) == a
+    assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) == pytest.approx(brute_likeness(a, b))
 
 
 def test_edits_are_located():
     a = "One here. Two.\nThree.\n\nFour five.\nSix."
     b = a.replace("Four", "4")
-    assert merkle.differing_paragraphs(a, b) == [(1, 0)]
-    assert 0 < merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) < 1
+    x, y = merkle.fingerprint(a), merkle.fingerprint(b)
+    assert merkle.differing_paragraphs(x, y) == [(1, 0)] and merkle.differing_paragraphs(x, x) == []
+    assert 0 < merkle.likeness(x, y) < 1
     assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint(None)) == 1.0
+    long = "".join(f"w{i} " for i in range(200_000))  # one sentence: cut by content
+    changed = long[:500_000] + "edit " + long[500_000:]
+    nodes, _ = merkle._nodes([merkle.fingerprint(long)])
+    assert nodes["size"].max() <= merkle.LEAF
+    assert merkle.likeness(merkle.fingerprint(long), merkle.fingerprint(changed)) > 0.999
 
 
 def test_neighbours_over_slices(spark):
@@ -466,6 +528,8 @@ def test_fingerprint_query(spark):
         r = got[i]
         assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["fingerprint"] == merkle.fingerprint(t) and r["edited_fingerprint"] == merkle.fingerprint(edited)
+        assert r["near_edited"] == merkle.likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert r["near_next"] == merkle.likeness(r["fingerprint"], merkle.fingerprint(n))
 
 
 # ---------------------------------------------------------------- 10 mixing
@@ -505,6 +569,30 @@ def test_mixed_rows_repeat_whole(spark):
     assert mixing.mix_documents(df.limit(0)).count() == 0
 
 
+def test_mixing_of_repeated_rows_nulls_and_clashing_names(spark):
+    rows = [(7, "one two three four", "a")] * 3 + [(7, "other text here", "a"), (None, "no id at all", "b"), (None, "no id at all", "b"), (8, None, "b"), (9, "x " * 50, None)]
+    names = ["_p", "_q", "key_id", "copies", "target", "src"]
+    df = spark.createDataFrame([(*r, *(f"{r[0]}" for _ in names)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    out = mixing.mix_documents(df)
+    assert out.columns == df.columns
+    got = {(r["doc_id"], r["text"]): r["count"] for r in out.groupBy("doc_id", "text").count().collect()}
+    assert got.get((7, "one two three four"), 0) in (0, 3, 6, 9) and got.get((None, "no id at all"), 0) in (0, 2, 4, 6)
+    assert all(r[n] == f"{r['doc_id']}" for r in out.collect() for n in names)
+
+
+def test_quality_keeps_columns_and_confirms_windows(spark):
+    df = docs(spark, ["a b c d a b c", None, "", "w " * 300_000]).withColumns({"words": F.lit(1), "windows": F.lit(2), "_words": F.lit(3)})
+    got = quality.measures(df).orderBy("doc_id").collect()
+    assert [r["n_repeat_words"] for r in got] == [6, 0, 0, 300_000] and all((r["words"], r["windows"], r["_words"]) == (1, 2, 3) for r in got)
+    assert quality.judge(quality.measures(df.limit(0))).count() == 0
+
+
+def test_packing_of_rows_without_id_and_ties(spark):
+    df = spark.createDataFrame([(None, 5)] * 50 + [(3, 5), (3, 5), (1, 5), (None, None)], "doc_id long, length long")
+    got = packing.pack(df, shard_rows=10).collect()
+    assert sum(r["n_docs"] for r in got) == 54 and sorted(i for r in got for i in r["doc_ids"]) == [1, 3, 3] and sum(r["tokens"] for r in got) == 265
+
+
 # ---------------------------------------------------------------- queries and pipeline
 
 
