@@ -4,8 +4,7 @@
    two texts that share WINDOW + K - 1 words in a row share a seed.
 2. Join: a seed that occurs more than once is matched to its first occurrence (least doc_id, then
    place), never to all others, so a passage in n documents makes n - 1 matches.  Seeds are dealt
-   and sorted once; those that a sample of the documents shows to be frequent are matched by a
-   broadcast of their first places instead.
+   and sorted once; those that a sample of the documents shows to be frequent are dealt by document too.
 3. Chains: the matches between a document and an anchor document become maximal diagonal runs;
    runs are chained in the order of both texts with a gap cost.  The best predecessor comes from Fenwick
    trees over cells of MAX_GAP words in both texts, so it is always a near one.
@@ -14,8 +13,8 @@
    maximal-scoring stretches of the alignment that have at least ``min_words`` words, enough of
    them equal, are repeats.
 5. The rest: seeds of one passage may have their first occurrences in different documents, none of
-   which holds the passage.  Stretches that are seeded all over but not part of one exact repeat go
-   through 2 to 4 again with all their runs of ``min_words`` words as keys.  So a passage of ``min_words``
+   which holds the passage.  Of stretches that are seeded all over, the runs of ``min_words`` words that lie in no
+   one repeat go through 2 to 4 again as keys.  So a passage of ``min_words``
    words that an earlier text has word for word is always found, but for less than a window of words at its ends
    if another repeat holds the rest.
 
@@ -32,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -48,7 +47,7 @@ PENALTY = 3
 #: Chains of one pair of documents closer than so many words are aligned together.
 NEAR = 64
 #: One in so many documents is looked at to find frequent seeds; frequent: so often in the sample; at most so many.
-HOT_SAMPLE, HOT_COUNT, HOT_SEEDS = 64, 24, 10_000
+HOT_SAMPLE, HOT_COUNT, HOT_SEEDS = 64, 24, 2_000
 #: Spans and passages up to this many rows are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 #: Runs of words asked for, up to this many, are broadcast to the texts that may hold them (8 bytes each).
@@ -58,7 +57,7 @@ PLACE = "doc_id long, part int, pos int"
 MATCH = "doc_id long, part int, anchor long, anchor_part int, pos int, anchor_pos int"
 CHAIN = "doc_id long, part int, anchor long, anchor_part int, x0 int, x1 int, y0 int, y1 int, chains array<int>"
 SLICE = "doc_id long, part int, anchor long, anchor_part int, x0 int, y0 int, side int, begin int, words binary, chains array<int>"
-PASSAGE = "doc_id long, part int, start_word int, n_words int, source_id long, source_part int, source_start_word int, source_n_words int, equal_words int, identity double, to_end int"
+PASSAGE = "doc_id long, part int, start_word int, n_words int, source_id long, source_part int, source_start_word int, source_n_words int, equal_words int, identity double, exact int"
 PAIR = ["doc_id", "part", "anchor", "anchor_part"]
 
 
@@ -103,62 +102,64 @@ def _seeds(k: int, window: int, least: int):
     return run
 
 
-def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(seed, doc_id, part, pos), sorted -> MATCH.
+def _first_places(hot: list[tuple[int, int, int, int]]):
+    """(seed, salt, doc_id, part, pos), sorted -> MATCH.
 
     The first place of a seed in a document meets the seed's first place of all, a later one the place before it in the
     document (a text that repeats itself so has one diagonal, not one for each repeat).  The first place of all
-    of a seed with such later ones is matched with itself, which marks it as shared.
+    of a seed with such later ones is matched with itself, which marks it as shared.  hot: first places of the
+    frequent seeds (seed, doc_id, part, pos), whose rows lie in several groups.
     """
-    held = None  # seed, its first place and its last one
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        seed, *place = _columns(batch, ["seed", "doc_id", "part", "pos"])
-        new = np.concatenate([[held is None or held[0] != seed[0]], seed[1:] != seed[:-1]])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(seed)), -1))
-        anchor = [np.where(first >= 0, p[first], p.dtype.type(0 if held is None else held[1][i])) for i, p in enumerate(place)]
-        before = [np.concatenate([[p.dtype.type(0 if held is None else held[2][i])], p[:-1]]) for i, p in enumerate(place)]
-        held = (seed[-1], [a[-1] for a in anchor], [p[-1] for p in place])
-        again = ~new & (place[0] == before[0]) & (place[1] == before[1])
-        meets = [np.where(again, b, a) for a, b in zip(anchor, before, strict=True)]
-        later = np.flatnonzero((place[0] != meets[0]) | (place[1] != meets[1]) | (place[2] != meets[2]))
-        marked = np.flatnonzero(again)
-        marked = marked[np.concatenate([[True], seed[marked][1:] != seed[marked][:-1]])] if len(marked) else marked
-        if len(later):
-            out = [np.concatenate([v[later], a[marked]]) for v, a in zip((*place, *meets), (*anchor, *anchor), strict=True)]
-            d, p, x, a, q, y = out
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (d, p, a, q, x, y)], names=[*PAIR, "pos", "anchor_pos"])
+    hot_seed, *hot_place = (np.array(v, t) for v, t in zip(zip(*sorted(hot), strict=True) if hot else [[]] * 4, (np.int64, np.int64, np.int32, np.int32), strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # seed and salt, the first place and the last one
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seed, salt, *place = _columns(batch, ["seed", "salt", "doc_id", "part", "pos"])
+            new = np.concatenate([[held is None or held[0] != (seed[0], salt[0])], (seed[1:] != seed[:-1]) | (salt[1:] != salt[:-1])])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(seed)), -1))
+            anchor = [np.where(first >= 0, p[first], p.dtype.type(0 if held is None else held[1][i])) for i, p in enumerate(place)]
+            salted = np.flatnonzero(salt)
+            if len(salted):
+                at = np.searchsorted(hot_seed, seed[salted])
+                for own, given in zip(anchor, hot_place, strict=True):
+                    own[salted] = given[at]
+            before = [np.concatenate([[p.dtype.type(0 if held is None else held[2][i])], p[:-1]]) for i, p in enumerate(place)]
+            held = ((seed[-1], salt[-1]), [a[-1] for a in anchor], [p[-1] for p in place])
+            again = ~new & (place[0] == before[0]) & (place[1] == before[1])
+            meets = [np.where(again, b, a) for a, b in zip(anchor, before, strict=True)]
+            later = np.flatnonzero((place[0] != meets[0]) | (place[1] != meets[1]) | (place[2] != meets[2]))
+            marked = np.flatnonzero(again)
+            if len(marked):
+                marked = marked[np.concatenate([[True], seed[marked][1:] != seed[marked][:-1]])]
+            if len(later):
+                d, p, x, a, q, y = (np.concatenate([v[later], a[marked]]) for v, a in zip((*place, *meets), (*anchor, *anchor), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (d, p, a, q, x, y)], names=[*PAIR, "pos", "anchor_pos"])
+
+    return run
 
 
 def first_matches(seeds: DataFrame) -> DataFrame:
     """(seed, doc_id, part, pos), stored -> MATCH, as ``_first_places`` has it.
 
-    How a seed is matched never changes what comes out: frequent ones meet their first place in a broadcast
-    (HOT_SEEDS rows at most), all others in one exchange by seed.
+    Seeds are dealt and sorted by seed once.  Those that a sample shows to be frequent (HOT_SEEDS at most) are dealt by
+    document too; their first places are found by an aggregation before.  Which seeds these are never changes what comes out.
     """
     spark = seeds.sparkSession
+    parts = common.shuffle_partitions(spark)
     sample = seeds.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
-    hot = sample.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "seed").limit(HOT_SEEDS).select("seed").collect()
-    rest = seeds
-    frequent = None
-    if hot:
-        names = F.broadcast(spark.createDataFrame(hot, "seed long"))
-        first = seeds.join(names, "seed").groupBy("seed").agg(F.min(F.struct("doc_id", "part", "pos")).alias("at"))
-        first = first.select("seed", F.col("at.doc_id").alias("anchor"), F.col("at.part").alias("anchor_part"), F.col("at.pos").alias("anchor_pos")).collect()  # HOT_SEEDS rows at most
-        first = F.broadcast(spark.createDataFrame(first, "seed long, anchor long, anchor_part int, anchor_pos int"))
-        before = F.lag("pos").over(Window.partitionBy("seed", "doc_id", "part").orderBy("pos"))
-        rows = seeds.distinct().join(first, "seed").withColumn("before", before)
-        own = F.col("before").isNotNull()
-        mine = lambda mine, theirs: F.when(own, F.col(mine)).otherwise(F.col(theirs)).alias(theirs)
-        met = rows.select("doc_id", "part", mine("doc_id", "anchor"), mine("part", "anchor_part"), "pos", mine("before", "anchor_pos")).where("doc_id <> anchor or part <> anchor_part or pos <> anchor_pos")
-        at = [F.col(c) for c in ("anchor", "anchor_part", "anchor", "anchor_part", "anchor_pos", "anchor_pos")]
-        marked = rows.where(own).select(*[c.alias(n) for c, n in zip(at, [*PAIR, "pos", "anchor_pos"], strict=True)]).distinct()
-        frequent = met.unionByName(marked)
-        rest = seeds.join(names, "seed", "left_anti")
-    dealt = rest.repartition(common.shuffle_partitions(spark), "seed").sortWithinPartitions("seed", "doc_id", "part", "pos")
-    matches = dealt.mapInArrow(_first_places, MATCH)
-    return matches if frequent is None else matches.unionByName(frequent)
+    names = [r["seed"] for r in sample.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "seed").limit(HOT_SEEDS).collect()]
+    salt, hot = F.lit(0), []
+    if names:
+        frequent = F.col("seed").isin(names)
+        first = seeds.groupBy(F.when(frequent, F.col("seed")).alias("seed")).agg(F.min(F.struct("doc_id", "part", "pos")).alias("at")).collect()  # HOT_SEEDS + 1 rows at most
+        hot = [(r["seed"], *r["at"]) for r in first if r["seed"] is not None]
+        salt = F.when(frequent, F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int") + 1).otherwise(0)
+    rows = seeds.select("seed", salt.alias("salt"), "doc_id", "part", "pos")
+    dealt = rows.repartition(parts, "seed", "salt").sortWithinPartitions("seed", "salt", "doc_id", "part", "pos")
+    return dealt.mapInArrow(_first_places(hot), MATCH)
 
 
 class _Fenwick:
@@ -404,15 +405,19 @@ def stretches(pairs: list[tuple[int, int]], penalty: int) -> list[tuple[int, int
     return [(s[0], s[1]) for s in stack]
 
 
-def passages_of(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], min_words: int, identity: float, margin: int) -> list[tuple[int, int, int, int, int]]:
-    """(x from, x to, y from, y to, equal words) of the repeats along a chain inside two word slices."""
+def passages_of(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], min_words: int, identity: float, margin: int) -> list[tuple]:
+    """(x from, x to, y from, y to, equal words, [(x, words) of its stretches of min_words equal words]) of the repeats along a
+    chain inside two word slices."""
     pairs = aligned(a, b, runs, margin)
     for penalty in (PENALTY, PENALTY + 1):  # where the first takes in too much, the second parts it
         out = []
         for s, e in stretches(pairs, penalty):
             x0, x1, y0, y1 = pairs[s][0], pairs[e][0] + 1, pairs[s][1], pairs[e][1] + 1
             if x1 - x0 >= min_words and e - s + 1 >= identity * max(x1 - x0, y1 - y0):
-                out.append((x0, x1, y0, y1, e - s + 1))
+                own = np.array(pairs[s : e + 1])
+                cuts = np.flatnonzero((np.diff(own, axis=0) != 1).any(axis=1)) + 1
+                whole = [(int(own[i, 0]), int(j - i)) for i, j in zip([0, *cuts], [*cuts, len(own)], strict=True) if j - i >= min_words]
+                out.append((x0, x1, y0, y1, e - s + 1, whole))
         if out:
             return out
     return []
@@ -425,7 +430,6 @@ def _align(min_words: int, identity: float, margin: int):
         a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
         found: list[tuple[int, int, int, int]] = []
         every = _read_chains(chains)
-        last = len(a) < max(x + m for runs in every for x, _, m in runs) + margin - a_at  # the slice ends with the text
         for runs in sorted(every, key=lambda r: -sum(m for _, _, m in r)):
             runs = [(x - a_at, y - b_at, m) for x, y, m in runs]
             x, y, m = runs[0]
@@ -433,14 +437,18 @@ def _align(min_words: int, identity: float, margin: int):
                 continue
             # a repeat needs identity * min_words equal words; no alignment has more than words that both sides hold
             lo, hi = max(0, x - margin), runs[-1][0] + runs[-1][2] + margin
-            if hi - lo < 400 and np.isin(a[lo:hi], b[max(0, y - margin) : runs[-1][1] + runs[-1][2] + margin]).sum() < identity * min_words:
-                continue
-            for x0, x1, y0, y1, equal in passages_of(a, b, runs, min_words, identity, margin):
+            if hi - lo < 400:
+                other = set(b[max(0, y - margin) : runs[-1][1] + runs[-1][2] + margin].tolist())
+                if sum(map(other.__contains__, a[lo:hi].tolist())) < identity * min_words:
+                    continue
+            for x0, x1, y0, y1, equal, whole in passages_of(a, b, runs, min_words, identity, margin):
                 if (x0, x1, y0, y1) in found:
                     continue
                 found.append((x0, x1, y0, y1))
                 if doc != anchor or part != anchor_part or y0 + b_at < x0 + a_at:
-                    yield doc, part, x0 + a_at, x1 - x0, anchor, anchor_part, y0 + b_at, y1 - y0, equal, equal / max(x1 - x0, y1 - y0), int(last and x1 == len(a))
+                    yield doc, part, x0 + a_at, x1 - x0, anchor, anchor_part, y0 + b_at, y1 - y0, equal, equal / max(x1 - x0, y1 - y0), 0
+                    for x, m in whole:
+                        yield doc, part, x + a_at, m, anchor, anchor_part, y0 + b_at, m, m, 1.0, 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -483,36 +491,39 @@ def _passages(chains: DataFrame, texts: DataFrame, min_words: int, identity: flo
     return dealt.mapInArrow(_align(min_words, identity, margin), PASSAGE)
 
 
-#: What a span is: part of a chain, a mark, a passage found, one that is equal word for word.
+#: What a span is: part of a chain, a mark, a passage found, a stretch of one that is equal word for word.
 RUN, MARK, PASSED, EXACT = 0, 1, 2, 3
 
 
 def _open_regions(min_words: int, window: int):
-    """(doc_id, part, x0, x1, kind) sorted -> stretches seeded all over, a window wider at both ends: with ask = 1 those of later
-    places that no passage holds from first to last seed, with ask = 0 those (marked first places too) that no exact repeat
-    holds in their whole width.
+    """(doc_id, part, x0, x1, kind) sorted -> (doc_id, part, lo, hi, ask): words lo..hi whose runs of min_words words are open.
 
-    A passage of min_words words has its first seed among its first ``window`` words and its last seed ends among its
-    last ones, and two seeds in a row start at most ``window`` words apart.
+    Open are runs inside a stretch that is seeded all over, a window wider at both ends (a run of min_words words has its first
+    seed among its first ``window`` words, its last seed ends among its last ones, and two seeds in a row start at most
+    ``window`` words apart): with ask = 1 those of later places that no passage holds but for a window at its ends,
+    with ask = 0 those (of marked first places too) that no stretch equal to an earlier place holds.
     """
     schema = "doc_id long, part int, lo int, hi int, ask int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for key, (x0, x1, kind) in _groups(batches, ["doc_id", "part"], ["x0", "x1", "kind"]):
-            for ask, seeded, closing in ((1, kind == RUN, kind >= PASSED), (0, kind <= MARK, kind == EXACT)):
+            for ask, seeded, closing, slack in ((1, kind == RUN, kind == PASSED, window), (0, kind <= MARK, kind == EXACT, 0)):
                 a, b = x0[seeded], x1[seeded]
                 if not len(a):
                     continue
                 reach = np.maximum.accumulate(b)
                 first = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1] + window]))
                 for lo, hi in zip(first, [*first[1:], len(a)], strict=True):
-                    start, end = int(a[lo]), int(reach[hi - 1])
-                    if end - start >= min_words - 2 * window:
-                        wide = (max(0, start - window), end + window)
-                        low, high = (start, end) if ask else wide
-                        if not ((x0 <= low) & (x1 >= high) & closing).any():
-                            out.append((*key, *wide, ask))
+                    start, end = max(0, int(a[lo]) - window), int(reach[hi - 1]) + window
+                    if end - start < min_words:
+                        continue
+                    # first words of the runs in it, without those that a closing span holds
+                    open_ = np.ones(end - start - min_words + 1, bool)
+                    for x, y in zip(x0[closing].tolist(), x1[closing].tolist(), strict=True):
+                        open_[max(0, x - slack - start) : max(0, y + slack - min_words + 1 - start)] = False
+                    edge = np.diff(np.concatenate([[0], open_.astype(np.int8), [0]]))
+                    out += [(*key, start + i, start + j - 1 + min_words, ask) for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
             if len(out) >= 5000:
                 yield _record(out, schema)
                 out = []
@@ -552,13 +563,12 @@ def _split_over_sources(chains: DataFrame, found: DataFrame, texts: DataFrame, m
     """The grams that step 5 matches, stored: those of all open regions, or, if they are few, the ones that a region without
     a passage asks for; None without any such region."""
     spark = texts.sparkSession
-    exact = F.when((F.col("equal_words") == F.col("n_words")) & (F.col("equal_words") == F.col("source_n_words")), EXACT).otherwise(PASSED)
-    end = F.col("start_word") + F.col("n_words") + F.col("to_end") * window  # nothing comes after a text's end
-    spans = chains.mapInArrow(_run_spans, "doc_id long, part int, x0 int, x1 int, kind int").unionByName(found.select("doc_id", "part", F.col("start_word").alias("x0"), end.alias("x1"), exact.alias("kind")))
+    kind = F.when(F.col("exact") == 1, EXACT).otherwise(PASSED).alias("kind")
+    spans = chains.mapInArrow(_run_spans, "doc_id long, part int, x0 int, x1 int, kind int").unionByName(found.select("doc_id", "part", F.col("start_word").alias("x0"), (F.col("start_word") + F.col("n_words")).alias("x1"), kind))
     regions = spans.repartition(common.shuffle_partitions(spark), "doc_id", "part").sortWithinPartitions("doc_id", "part", "x0", "x1")
     regions = common.store(regions.mapInArrow(_open_regions(min_words, window), "doc_id long, part int, lo int, hi int, ask int"), "regions")
     asks = regions.where("ask = 1")
-    words = asks.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0]
+    words = asks.agg(F.sum(F.col("hi") - F.col("lo") - min_words + 1)).first()[0]
     if words is None:
         return None
 
@@ -615,8 +625,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
     if grams is not None:
         found = found.union(_passages(_chained(first_matches(grams), min_words, 0), texts, min_words, identity, margin))
     order = ["start_word", F.desc("n_words"), "source_id", "source_part", "source_start_word"]
-    dealt = found.repartition(common.shuffle_partitions(docs.sparkSession), "doc_id", "part").sortWithinPartitions("doc_id", "part", *order)
-    return dealt.mapInArrow(_outermost, PASSAGE).drop("to_end")
+    dealt = found.where("exact = 0").repartition(common.shuffle_partitions(docs.sparkSession), "doc_id", "part").sortWithinPartitions("doc_id", "part", *order)
+    return dealt.mapInArrow(_outermost, PASSAGE).drop("exact")
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

@@ -109,7 +109,7 @@ def test_two_repeats_with_a_gap_between_are_two():
     a, b = rng.integers(0, 2**32, (2, 160), dtype=np.uint32)
     a[:60], a[100:] = b[:60], b[100:]
     got = substring_dedup.passages_of(a, b, [(0, 0, 60), (100, 100, 60)], 50, 0.8, 60)
-    assert got == [(0, 60, 0, 60, 60), (100, 160, 100, 160, 60)]
+    assert got == [(0, 60, 0, 60, 60, [(0, 60)]), (100, 160, 100, 160, 60, [(100, 60)])]
 
 
 # ---------------------------------------------------------------- whole operator
