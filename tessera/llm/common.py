@@ -49,6 +49,10 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    _stored.append((spark, folder))
+
+
 @atexit.register
 def _remove_stored() -> None:
     for spark, folder in _stored:
@@ -66,7 +70,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    _stored.append((spark, folder))
+    remove_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -15,7 +15,7 @@
    cluster is large) and every pair with intersection * 100 >= percent * union is a link.
 
 Null, empty and wordless texts have an empty set, link with nothing and stay.  Repeated rows
-are copies of each other.  Extra columns are ignored by ``near_duplicates`` and kept by
+are copies of each other; rows with one doc_id and different texts are sets of their own that bear one id.  Extra columns are ignored by ``near_duplicates`` and kept by
 ``drop_near_duplicates``.
 """
 
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 COORDS = 64
+#: Shingles that the members of a block hold together, about: long texts make smaller blocks.
+BLOCK_SHINGLES = 4_000_000
 _ODD = np.random.default_rng(7).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = np.random.default_rng(8).integers(1, 2**63, COORDS, dtype=np.uint64)
 
@@ -338,7 +340,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     clusters = common.cut(candidate_clusters(members, percent / 100, trees, branch, leaf, depth))
 
     # members of a cluster are dealt into blocks; a cluster of b blocks meets in b * (b + 1) / 2 groups
-    size = clusters.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    size = clusters.join(members.select("id", "n"), "id").groupBy("label").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
     dealt = clusters.join(size, "label").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.select("label", "id", "blocks", "block", other.alias("o")).select("label", "id", "blocks", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
@@ -356,7 +358,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
         found = found.union(common.connected_components(open_))
     labelled = sets.select("digest", "id").join(found, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
     out = described.join(labelled, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -365,8 +367,9 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
     Rows with the same doc_id count as one document and stay or go together.
     """
-    gone = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    (name,) = common.free(docs.columns, "gone")
+    gone = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,6 +112,21 @@ def test_one_document_of_each_group_stays(spark):
     assert left.columns[-1] == "label"
 
 
+def test_near_dedup_edges(spark):
+    rng = random.Random(12)
+    a, b = prose(rng, 60), prose(rng, 60)
+    long = prose(rng, 300_000, 10**6)
+    rows = [(1, a), (1, b), (2, b), (None, a), (None, None), (3, long), (4, long + " end"), (5, a), (5, a)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, gone string, _gone string")
+    got = near_dedup.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    label = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in got}
+    assert label == {(1, True): 1, (2, True): 1, (None, True): None, (None, False): None, (3, True): 3, (4, True): 3, (5, True): 1}
+    left = near_dedup.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 0, 1, 1, 3]
+
+
 def test_a_group_larger_than_a_block_is_one_component(spark):
     rng = random.Random(3)
     base = prose(rng, 80).split()
@@ -609,6 +624,27 @@ def test_query_equals_sql(spark, name):
     assert plain(got) == plain(expected)
 
 
+def test_stages_handle_edges(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(44)
+    passage = prose(rng, 70, 9000)
+    rows = [(i, prose(rng, 40, 9000) + " " + passage + " " + prose(rng, 40, 9000), "en", f"s{i % 2}", 9) for i in range(6)]
+    rows += [(6, rows[0][1], "en", "s0", 9), (7, rows[1][1], None, None, None), (8, None, "en", "s0", 0), (None, "no id", "en", "s1", 5), (None, None, None, None, None), (9, "", "en", "s1", 0), (9, "", "en", "s1", 0), (10, prose(rng, 250_000, 10**6), "en", "s1", 1)]
+    extra = ["_gone", "_id", "_text", "_p", "copies", "spans", "key_id", "doc", "part"]
+    df = spark.createDataFrame([(*r, *(["v"] * len(extra))) for r in rows], DOCS + "".join(f", {c} string" for c in extra))
+    spark.createDataFrame([(0, 1, 0), (1, 0, None), (2, None, 5), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs_ in (df, df.limit(0)):
+        now = docs_
+        for name, stage in corpus_pipeline.STAGES:
+            now = common.cut(stage(spark, now, str(tmp_path)))
+            assert name == "packing" or now.columns == df.columns
+        held = sorted({i for r in now.collect() for i in r["doc_ids"]})
+        assert held == ([] if docs_ is not df else held) and set(held) <= set(range(11)) and 6 not in held and 7 not in held
+        if docs_ is df:
+            assert 0 in held and 10 in held
+
+
 @has_tables
 def test_pipeline(spark):
     import corpus_pipeline
