@@ -52,12 +52,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to documents; what lies between two stages goes to the shared checkpoint folder."""
+    """Applies STAGES to documents; what lies between two stages goes to the shared checkpoint folder, until it is used."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{common.checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    common.remove_at_exit(spark, folder)  # the last stage's input is read when the result is
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                common.remove_folder(spark, f"{folder}/{k - 1}")
     return docs
