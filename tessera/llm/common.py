@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes handled at once by the kernels; longer texts are cut at white space.
 BLOCK = 1 << 20
 
+#: Bytes of an Arrow batch of texts in our own jobs.
+BATCH_BYTES = 8 << 20
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors, from the session; only in local mode one of our own where it is unset."""
@@ -74,9 +77,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """df marked for a broadcast if it has at most so many rows, else as it is; df must be cheap to count (stored or cut)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def job(spark: SparkSession) -> None:
+    """Settings of a job that owns its session (registered queries and pipeline stages call this; operators never do): texts reach
+    Python in Arrow batches of BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def free(columns: Iterable[str], *names: str) -> list[str]:

@@ -293,6 +293,7 @@ def identify(docs: DataFrame, model: Model, reject: bool = True) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = fit(docs.where(~held_out).select("doc_id", "text", "lang"))

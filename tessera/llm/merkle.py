@@ -279,6 +279,7 @@ def edit(text: str, following: str) -> str:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -373,4 +373,5 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), k=4)

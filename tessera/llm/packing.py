@@ -101,4 +101,5 @@ def pack_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -48,8 +48,6 @@ PENALTY = 3
 NEAR = 64
 #: One in so many documents is looked at to find frequent seeds; frequent: so often in the sample; at most so many.
 HOT_SAMPLE, HOT_COUNT, HOT_SEEDS = 64, 24, 2_000
-#: Spans and passages up to this many rows are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 100_000
 #: Runs of words asked for, up to this many, are broadcast to the texts that may hold them (8 bytes each).
 BROADCAST_GRAMS = 2_000_000
 
@@ -482,8 +480,7 @@ def _passages(chains: DataFrame, texts: DataFrame, min_words: int, identity: flo
         chains.select(F.col("anchor").alias("want"), F.col("anchor_part").alias("want_part"), F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("salt"), span(1, "y0", "y1", F.lit(None).cast("array<int>")).alias("span"))
     )
     spans = wanted.groupBy("want", "want_part", "salt").agg(F.collect_list("span").alias("spans"))
-    if chains.count() <= BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    spans = spans.hint("merge")  # one plan at every size
     asked = texts.join(spans, (texts["doc_id"] == spans["want"]) & (texts["part"] == spans["want_part"])).select("text", "spans")
     slices = asked.mapInArrow(_cut_words(margin), SLICE)
     order = [*PAIR, "x0", "y0"]
@@ -574,9 +571,7 @@ def _split_over_sources(chains: DataFrame, found: DataFrame, texts: DataFrame, m
 
     def grams(regions: DataFrame, wanted=None) -> DataFrame:
         by_text = regions.groupBy("doc_id", "part").agg(F.collect_list(F.struct("lo", "hi")).alias("regions"))
-        if regions.count() <= BROADCAST_ROWS:
-            by_text = F.broadcast(by_text)
-        held = texts.join(by_text, ["doc_id", "part"]).select("doc_id", "part", "text", "regions")
+        held = texts.join(by_text.hint("merge"), ["doc_id", "part"]).select("doc_id", "part", "text", "regions")
         return held.mapInArrow(_region_grams(min_words, wanted), f"seed long, {PLACE}")
 
     regions = regions.where("ask = 0")
@@ -637,7 +632,7 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """
     own, part, spans_name, cut_name = common.free(docs.columns, "doc", "part", "spans", "cut")
     spans = passages.groupBy(F.col("doc_id").alias(own), F.col("part").alias(part)).agg(F.flatten(F.collect_list(F.array("start_word", "n_words"))).alias(spans_name))
-    spans = common.small_side(common.store(spans, "spans"), BROADCAST_ROWS)
+    spans = spans.hint("merge")
     joined = docs.join(spans, (docs["doc_id"].cast("long") == spans[own]) & (F.hash(docs["text"].cast("string")) == spans[part]), "left").drop(own, part)
 
     @F.pandas_udf("string")
@@ -673,4 +668,5 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     return repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -106,5 +106,6 @@ def truncated_totals(histogram: DataFrame, limits) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.job(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
     return length_histogram(with_token_count(docs))
