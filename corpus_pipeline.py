@@ -15,27 +15,32 @@ from tessera.llm import common, mixing, near_dedup, packing, substring_dedup, to
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
+    common.job(spark)
     model = toxicity.fit(toxicity.labelled_documents(spark, docs, sf_dir))
     return toxicity.drop_toxic(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    common.job(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document has are cut out of the text."""
+    common.job(spark)
     return substring_dedup.remove_passages(docs, substring_dedup.repeated_passages(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in as many copies as the mix takes."""
+    common.job(spark)
     return mixing.mix_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Batches of documents of like length: boundary, shard, batch, doc_ids, n_docs, tokens, padded."""
+    common.job(spark)
     return packing.pack_documents(docs)
 
 
