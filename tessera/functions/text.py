@@ -19,9 +19,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def canonical(text: Column | str) -> Column:
-    """Lower case, sharp s as ss, white space collapsed and trimmed: equals NFKC + casefold on Latin text without compatibility forms."""
-    return F.trim(F.regexp_replace(F.replace(F.lower(_col(text)), F.lit("ß"), F.lit("ss")), r"\s+", " "))
+#: Texts of these characters alone (ASCII without separators 1C-1F, Latin-1 letters, oe, typographic dashes and quotes) have
+#: their canonical form by lower case and sharp s as ss; all others need compatibility forms, case folding or other white space.
+PLAIN = r"^[\t-\r\x20-\x7EÀ-ÖØ-öø-ÿŒœ–—‘’“”]*$"
 
 
 @F.pandas_udf(StringType())
@@ -30,6 +30,14 @@ def canonical_udf(text):
     return text.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()))
 
 
+def canonical(text: Column | str) -> Column:
+    """NFKC, casefold, white space collapsed and trimmed: by built-in functions for PLAIN texts, only the others go to Python."""
+    text = _col(text)
+    plain = text.rlike(PLAIN)
+    native = F.trim(F.regexp_replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), r"\s+", " "))
+    return F.when(plain, native).otherwise(canonical_udf(F.when(~plain, text)))
+
+
 def digest(text: Column | str) -> Column:
     """Identity of a canonical text."""
     return F.md5(canonical(text))
@@ -55,6 +63,13 @@ def _windows(t: Column, n: int) -> Column:
     return F.when(F.size(t) >= n, F.array_distinct(windows)).otherwise(F.array().cast("array<string>"))
 
 
+def window_edges(text: Column | str, n: int = FRAGMENT_TOKENS) -> Column:
+    """Distinct 64-bit hashes of the first and last token of all n-token windows of the canonical text: a cheap necessary
+    condition for equal fragments."""
+    pairs = lambda t: F.transform(F.slice(t, 1, F.greatest(F.size(t) - (n - 1), F.lit(0))), lambda x, i: F.xxhash64(x, F.get(t, i + (n - 1))))
+    return F.array_distinct(F.element_at(F.transform(F.array(F.split(canonical(text), " ")), pairs), 1))
+
+
 def hash_fraction(seed: str, *parts: Column | str) -> Column:
     """Uniform fraction in [0, 1) from a seeded md5 of the parts; the same in every SQL engine."""
     key = F.concat_ws("\x1f", F.lit(seed), *[_col(p).cast("string") for p in parts])

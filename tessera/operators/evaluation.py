@@ -20,6 +20,17 @@ def token_f1(prediction: Column | str, reference: Column | str) -> Column:
     return F.when((F.size(p) == 0) & (F.size(r) == 0), 100.0).when((F.size(p) == 0) | (F.size(r) == 0), 0.0).otherwise(f1)
 
 
+def token_f1_rows(df: DataFrame, id_col: str, prediction: str, reference: str) -> DataFrame:
+    """(id, f1) of unique ids, for texts of any length: tokens are counted by id, not compared within arrays."""
+    side = lambda c, k: F.transform(F.split(qa_normal(F.coalesce(F.col(c), F.lit(""))), " "), lambda t: F.struct(t.alias("token"), F.lit(k == 0).cast("int").alias("p"), F.lit(k == 1).cast("int").alias("r")))
+    tokens = df.select(F.col(id_col), F.inline(F.concat(side(prediction, 0), side(reference, 1))))  # an empty text leaves one empty token
+    counts = tokens.groupBy(id_col, "token").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    real = F.col("token") != ""
+    sums = counts.groupBy(id_col).agg(*[F.coalesce(F.sum(F.when(real, v)), F.lit(0)).alias(n) for n, v in (("p", F.col("p")), ("r", F.col("r")), ("both", F.least("p", "r")))])
+    f1 = F.when((F.col("p") == 0) & (F.col("r") == 0), 100.0).when((F.col("p") == 0) | (F.col("r") == 0), 0.0).otherwise(200.0 * F.col("both") / (F.col("p") + F.col("r")))
+    return sums.select(id_col, f1.alias("f1"))
+
+
 def best_f1(prediction: Column | str, references: Column | str) -> Column:
     """The best over several references; 0 for an empty list."""
     refs = F.col(references) if isinstance(references, str) else references

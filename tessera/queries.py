@@ -105,10 +105,9 @@ def html_text_rows(spark, sf_dir):
 _QA = "list_filter(regexp_split_to_array(regexp_replace(lower({0}), '[!-/:-@\\[-`{{-~]', '', 'g'), '\\s+'), lambda t: t NOT IN ('', 'a', 'an', 'the'))"
 
 
-@query(f"SELECT doc_id, 'Answer the question.' || chr(10) || chr(10) || source AS prompt, array_to_string({_QA.format('left(text, 400)')}, ' ') AS answer FROM documents WHERE lang = 'en'")
+@query(f"SELECT doc_id, 'Answer the question.' || chr(10) || chr(10) || source AS prompt, array_to_string({_QA.format('text')}, ' ') AS answer FROM documents")
 def qa_normal_form(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("lang = 'en'")
-    return docs.select("doc_id", text.with_prefix("Answer the question.", "source").alias("prompt"), text.qa_normal(F.substring("text", 1, 400)).alias("answer"))
+    return _docs(spark, sf_dir).select("doc_id", text.with_prefix("Answer the question.", "source").alias("prompt"), text.qa_normal("text").alias("answer"))
 
 
 # ---------------------------------------------------------------- de-duplication and decontamination
@@ -147,22 +146,23 @@ best AS (SELECT doc_id, min({{'rank': rank, 'benchmark': benchmark, 'field': fie
 def _blocklist(spark, sf_dir):
     bench = table(spark, sf_dir, "benchmark")
     fields = decontam.benchmark_fields(bench, [("text", F.col("text"))], F.concat(F.lit("bench"), (F.col("item_id") % 4).cast("string")))
-    return decontam.blocklist(fields)
+    whole, parts = decontam.blocklist(fields)
+    return {"whole": whole, "parts": parts, "edge_table": decontam.edges(fields)}
 
 
 @query(_BLOCK + "SELECT doc_id, hit.benchmark AS benchmark, hit.field AS field, CASE WHEN hit.rank = 0 THEN 'exact' ELSE 'fragment' END AS kind FROM best")
 def decontam_match(spark, sf_dir):
-    return decontam.match(_docs(spark, sf_dir, "doc_id", "text"), *_blocklist(spark, sf_dir))
+    return decontam.match(_docs(spark, sf_dir, "doc_id", "text"), **_blocklist(spark, sf_dir))
 
 
 @query(_BLOCK + "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM best)")
 def decontam_clean(spark, sf_dir):
-    return decontam.decontaminate(_docs(spark, sf_dir, "doc_id", "text"), *_blocklist(spark, sf_dir)).select("doc_id")
+    return decontam.decontaminate(_docs(spark, sf_dir, "doc_id", "text"), **_blocklist(spark, sf_dir)).select("doc_id")
 
 
 def _laddered(spark, sf_dir, duplicates_last: bool = False):
     docs = _with_tokens(_docs(spark, sf_dir))
-    hits = decontam.match(docs, *_blocklist(spark, sf_dir)).select("doc_id", F.lit(True).alias("contaminated"))
+    hits = decontam.match(docs, **_blocklist(spark, sf_dir)).select("doc_id", F.lit(True).alias("contaminated"))
     docs = docs.join(hits, "doc_id", "left")
     early = [("empty", F.col("n_tokens") == 0), ("outside_scope", ~F.col("lang").isin("en", "fr", "de")), ("benchmark", F.col("contaminated"))]
     return ladder.reason_ladder(docs, early, text.digest("text"), "doc_id", [("overlength", F.col("n_tokens") > 1024)], duplicates_last)
@@ -647,14 +647,17 @@ def caption_left_join(spark, sf_dir):
 # ---------------------------------------------------------------- evaluation and checks
 
 @query(
-    f"""WITH p AS (SELECT a.doc_id, {_QA.format('left(a.text, 200)')} AS p, {_QA.format('left(b.text, 200)')} AS r FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)
-SELECT doc_id, round(CASE WHEN len(p) = 0 AND len(r) = 0 THEN 100.0 WHEN len(p) = 0 OR len(r) = 0 THEN 0.0 ELSE 200.0 * list_sum(list_transform(list_distinct(p), lambda t: least(len(list_filter(p, lambda x: x = t)), len(list_filter(r, lambda x: x = t))))) / (len(p) + len(r)) END, 6) AS f1 FROM p"""
+    f"""WITH t AS (SELECT doc_id, unnest({_QA.format("coalesce(text, '')")}) AS token FROM documents), c AS (SELECT doc_id, token, count(*) AS n FROM t GROUP BY ALL),
+s AS (SELECT d.doc_id, coalesce(sum(n), 0) AS n FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id GROUP BY d.doc_id),
+o AS (SELECT a.doc_id, sum(least(a.n, b.n)) AS n FROM c a JOIN c b ON b.doc_id = a.doc_id + 1 AND a.token = b.token GROUP BY a.doc_id)
+SELECT p.doc_id, round(CASE WHEN p.n = 0 AND r.n = 0 THEN 100.0 WHEN p.n = 0 OR r.n = 0 THEN 0.0 ELSE 200.0 * coalesce(o.n, 0) / (p.n + r.n) END, 6)::DOUBLE AS f1
+FROM s p JOIN s r ON r.doc_id = p.doc_id + 1 LEFT JOIN o ON o.doc_id = p.doc_id"""
 )
 def token_f1(spark, sf_dir):
-    """The start of each document against the start of the next one."""
-    docs = _docs(spark, sf_dir, "doc_id", F.substring("text", 1, 200).alias("text"))
+    """Each document against the next one, whole."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
     pairs = docs.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("reference")), "doc_id")
-    return pairs.select("doc_id", F.round(evaluation.token_f1("text", "reference"), 6).alias("f1"))
+    return evaluation.token_f1_rows(pairs, "doc_id", "text", "reference").select("doc_id", F.round("f1", 6).alias("f1"))
 
 
 @query(
@@ -790,21 +793,24 @@ def mask_block_topk(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
-@query("SELECT min(event_id) AS event_id, user_id, event_type FROM events GROUP BY user_id, event_type")
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
-    """The first event of each user and type, from a file stream run to its end (the same keys a batch keeps)."""
+    """Users and event types of the rows that a file stream's de-duplication keeps, run to its end into a file sink."""
+    import tempfile
     import uuid
 
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{shared or tempfile.gettempdir()}/stream_dedup-{uuid.uuid4().hex}"
     events = table(spark, sf_dir, "events")
-    stream = streams.read_stream(spark, f"{sf_dir}/events.parquet*", events.schema)
-    name = f"stream_dedup_{uuid.uuid4().hex}"
-    kept = stream.withColumn("ts", F.col("ts").cast("timestamp")).groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
-    q = kept.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select("event_id", "user_id", "event_type")
+    stream = streams.read_stream(spark, f"{sf_dir}/events.parquet*", events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.run_available(streams.dedup_stream(stream, ["user_id", "event_type"], "ts"), f"{folder}/out", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
 
 
-@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS records FROM events GROUP BY ALL")
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS records, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def windowed_counts(spark, sf_dir):
+    """The streaming aggregation, here over a table at rest."""
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return e.groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("records")).select("event_type", F.col("w.start").cast("timestamp_ntz").alias("hour"), "records")
+    return streams.windowed_counts(e, "ts", "1 hour", ["event_type"], "value").select("event_type", F.col("window.start").cast("timestamp_ntz").alias("hour"), "records", F.round("total", 4).alias("total"))

@@ -86,3 +86,22 @@ def test_tool_call_formats():
     assert chat.parse_tool_calls('text {"name": "g", "arguments": "{\\"b\\": 2}"} more') == [("g", '{"b": 2}', True)]
     assert chat.parse_tool_calls("no call") == []
     assert chat.json_to_tags({"a": [1, 2], "b": "x"}) == "<s_b>x</s_b><s_a>1<sep/>2</s_a>"
+
+
+def test_canonical_form_is_exact(spark):
+    import unicodedata
+
+    texts = [None, "", " A  b\t\nC ", "STRASSE Straße", "ＦＵＬＬ　width", "ﬁne ligature", "no\u00a0break\u2003space", "ΟΔΟΣ σς", "İstanbul", "e\u0301tude É", "a\x1cb\x85c", "1/2 ½ …", "“quoted” – Œuvre"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").orderBy("i").select(text.canonical("t")).collect()]
+    assert got == [None if t is None else " ".join(unicodedata.normalize("NFKC", t).casefold().split()) for t in texts]
+
+
+def test_edges_never_hide_a_fragment(spark):
+    from tessera.operators import decontam
+
+    passage = " ".join(f"Wörd{i}" for i in range(14))
+    docs = spark.createDataFrame([(1, f"x y {passage} z"), (2, passage.upper()), (3, " ".join(passage.split()[:11])), (4, None), (5, "")], "doc_id long, text string")
+    fields = spark.createDataFrame([("b", "q", passage)], "benchmark string, field string, text string")
+    whole, parts = decontam.blocklist(fields)
+    found = {(r["doc_id"], r["kind"]) for r in decontam.match(docs, whole, parts, edge_table=decontam.edges(fields)).collect()}
+    assert found == {(1, "fragment"), (2, "exact")} == {(r["doc_id"], r["kind"]) for r in decontam.match(docs, whole, parts).collect()}
