@@ -63,11 +63,12 @@ def _windows(t: Column, n: int) -> Column:
     return F.when(F.size(t) >= n, F.array_distinct(windows)).otherwise(F.array().cast("array<string>"))
 
 
-def window_edges(text: Column | str, n: int = FRAGMENT_TOKENS) -> Column:
-    """Distinct 64-bit hashes of the first and last token of all n-token windows of the canonical text: a cheap necessary
-    condition for equal fragments."""
+def window_edges(canonical_text: Column | str, n: int = FRAGMENT_TOKENS) -> Column:
+    """Hashes of a canonical text as a whole and of the first and last token of all its n-token windows: equal texts or fragments
+    have equal ones."""
+    c = _col(canonical_text)
     pairs = lambda t: F.transform(F.slice(t, 1, F.greatest(F.size(t) - (n - 1), F.lit(0))), lambda x, i: F.xxhash64(x, F.get(t, i + (n - 1))))
-    return F.array_distinct(F.element_at(F.transform(F.array(F.split(canonical(text), " ")), pairs), 1))
+    return F.concat(F.array(F.xxhash64(c)), F.element_at(F.transform(F.array(F.split(c, " ")), pairs), 1))
 
 
 def hash_fraction(seed: str, *parts: Column | str) -> Column:

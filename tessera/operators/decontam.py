@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import digest, fragments, window_edges
+from tessera.functions.text import canonical, digest, fragments, window_edges
 
 #: Blocklists of at most so many rows are broadcast; larger ones go through a shuffle join.
 BROADCAST_ROWS = 500_000
@@ -35,22 +35,29 @@ def blocklist(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def edges(fields: DataFrame) -> DataFrame:
-    """(benchmark, field, text) -> (edge): the distinct window edges of all fragments, for ``match``."""
-    return fields.select(F.explode(window_edges("text")).alias("edge")).distinct()
+    """(benchmark, field, text) -> (edge): the distinct hashes that ``match`` looks for first."""
+    return fields.select(canonical("text").alias("c")).select(F.explode(window_edges("c")).alias("edge")).distinct()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if it has fewer (a few large row groups); tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def match(docs: DataFrame, whole: DataFrame, parts: DataFrame, id_col: str = "doc_id", text_col: str = "text", edge_table: DataFrame | None = None) -> DataFrame:
     """(id, benchmark, field, kind) of each contaminated document: an exact match before a fragment match, then the least origin.
 
-    With ``edge_table`` (see ``edges``) only documents that have the first and last token of some fragment at its distance are
-    searched for fragments: hashes of two tokens a window are met with a sized side first, digests of twelve
-    tokens are made for what is left.  Either way the hits are those of full digests.
+    With ``edge_table`` (see ``edges``) documents are searched in one pass for a hash of a whole text or of the first and last
+    token of a fragment, and digests are made only of documents that have one.  Either way the hits are those of full
+    digests.
     """
-    exact = docs.select(F.col(id_col), digest(text_col).alias("digest")).join(sized(whole), "digest").select(id_col, F.struct(F.lit(0).alias("rank"), "benchmark", "field").alias("hit"))
     likely = docs.select(id_col, text_col)
     if edge_table is not None:
-        near = docs.select(F.col(id_col), F.explode(window_edges(text_col)).alias("edge")).join(sized(edge_table), "edge", "left_semi").select(id_col).distinct()
-        likely = likely.join(sized(near), id_col, "left_semi")
+        own = spread(likely).select(id_col, canonical(text_col).alias("_c")).select(id_col, F.explode(window_edges("_c")).alias("edge"))
+        near = own.join(sized(edge_table), "edge", "left_semi").select(id_col).distinct()
+        likely = likely.join(near, id_col, "left_semi")
+    exact = likely.select(F.col(id_col), digest(text_col).alias("digest")).join(sized(whole), "digest").select(id_col, F.struct(F.lit(0).alias("rank"), "benchmark", "field").alias("hit"))
     inside = likely.select(F.col(id_col), F.explode(fragments(text_col)).alias("fragment")).join(sized(parts), "fragment").select(id_col, F.struct(F.lit(1).alias("rank"), "benchmark", F.concat("field", F.lit(":fragment")).alias("field")).alias("hit"))
     best = exact.union(inside).groupBy(id_col).agg(F.min("hit").alias("hit"))
     return best.select(id_col, "hit.benchmark", "hit.field", F.when(F.col("hit.rank") == 0, "exact").otherwise("fragment").alias("kind"))
