@@ -71,6 +71,28 @@ def positions(lengths: Column | str) -> Column:
     return F.flatten(F.transform(_col(lengths), lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))))
 
 
+def remaining(lengths: Column | str) -> Column:
+    """How many tokens of its sequence come after each token."""
+    return F.flatten(F.transform(_col(lengths), lambda n: F.when(n > 0, F.sequence(n - 1, F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))))
+
+
+def folded_positions(lengths: Column | str, size: int) -> Column:
+    """Position ids of a pack of ``size``: padding goes on where the last sequence ends, at most to size - 1."""
+    own, lens = positions(lengths), _col(lengths)
+    pad = F.greatest(F.lit(size) - F.size(own), F.lit(0))
+    last = F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(-1))
+    more = F.transform(F.array_repeat(F.lit(0), pad), lambda x, j: F.least(last + 1 + j, F.lit(size - 1)))
+    return F.when(F.size(lens) >= 0, F.concat(own, more))
+
+
+def shift_for_left_pad(mask: Column | str, attention: Column | str) -> Column:
+    """A mask made on unpadded tokens, moved right by the padding on the left; without padding or attention mask it stays."""
+    m = _col(mask)
+    content = F.aggregate(_col(attention), F.lit(0), lambda acc, x: acc + x.cast("int"))
+    pad = F.greatest(F.size(m) - F.coalesce(content, F.size(m)), F.lit(0))
+    return F.concat(F.array_repeat(F.lit(0), pad), F.slice(m, F.lit(1), F.size(m) - pad))
+
+
 def segments(lengths: Column | str) -> Column:
     """1-based segment ids."""
     return F.flatten(F.transform(_col(lengths), lambda n, i: F.array_repeat(i + 1, n.cast("int"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +32,26 @@ def length_order(df: DataFrame, length: str, key: str, block: int = 256) -> Data
     return out.withColumn("position", (F.col("_o") + F.col("_r")).cast("long")).drop("_range", "_r", "_o")
 
 
+def dense_positions(df: DataFrame, key: str, block: int = 1 << 16) -> DataFrame:
+    """(key, position, total): each distinct whole-number key that is not null and its place in order from 0.
+
+    Keys are counted by range of ``block`` values first and numbered inside it, so no window holds more than a range.
+    """
+    rows = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_range", F.floor(F.col(key) / block))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_c"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range of keys
+    offset = sizes.select("_range", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"), F.sum("_c").over(Window.partitionBy(F.lit(1))).alias("total"))
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1).join(offset, "_range")
+    return rows.select(key, (F.col("_o") + F.col("_r")).cast("long").alias("position"), F.col("total").cast("long").alias("total"))
+
+
+def named_split(position: Column | str, total: Column | str, splits: Mapping[str, tuple[float, float]]) -> Column:
+    """Name of the split whose share of the positions, with bounds rounded half to even, holds this one; else null."""
+    p, n = (F.col(c) if isinstance(c, str) else c for c in (position, total))
+    bound = lambda share: F.bround(F.lit(float(share)) * n).cast("long")
+    return F.coalesce(*[F.when((p >= bound(lo)) & (p < bound(hi)), F.lit(name)) for name, (lo, hi) in splits.items()])
+
+
 def bucket_batches(df: DataFrame, bucket: str, key: str, batch: int, seed: str, drop_last: bool = True) -> DataFrame:
     """Hash order inside each bucket, cut into batches of ``batch``; adds ``batch_no``."""
     order = Window.partitionBy(bucket).orderBy(hash_fraction(seed, key), key)

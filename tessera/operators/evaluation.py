@@ -80,6 +80,20 @@ def call_scores(gold_name: str, gold_args: str, pred_name: str, pred_args: str)
     }
 
 
+def answer_report(df: DataFrame, by: Sequence[str], words: str, passed: str, modes: Mapping[str, Column | str], threshold: int = 500) -> DataFrame:
+    """Answers in one row per group: total, passed and accuracy, count and rate of each failure mode, and how many of the
+    answers over ``threshold`` words and of the others pass (null without such answers).  A null flag counts as false."""
+    n, ok = F.col(words), F.coalesce(F.col(passed), F.lit(False))
+    total = F.count("*")
+    out = [total.alias("total"), F.count_if(ok).alias("n_passed"), F.round(F.count_if(ok) / total, 4).alias("accuracy")]
+    for name, flag in modes.items():
+        flag = F.coalesce(F.col(flag) if isinstance(flag, str) else flag, F.lit(False))
+        out += [F.count_if(flag).alias(name), F.round(F.count_if(flag) / total, 6).alias(f"{name}_rate")]
+    for name, inside in (("long", n > threshold), ("short", n <= threshold)):
+        out += [F.count_if(inside).alias(f"n_{name}"), F.round(F.avg(F.when(inside, ok.cast("double"))), 4).alias(f"{name}_pass_rate")]
+    return df.groupBy(*by).agg(*out)
+
+
 def join_predictions(records: DataFrame, predictions: DataFrame, key: str, order: str) -> DataFrame:
     """The last prediction (by order) of each record; records without one stay with ``missing`` true."""
     last = predictions.groupBy(key).agg(F.max_by("prediction", order).alias("prediction"))

@@ -437,6 +437,30 @@ def pack_position_ids(spark, sf_dir):
     return rows.select("conv_id", show(tokens.positions(lens)).alias("positions"), show(tokens.segments(lens)).alias("segments"), show(tokens.pad_to(F.flatten(seqs), 160, 0)).alias("padded"))
 
 
+@query(
+    f"""WITH c AS (SELECT conv_id, list(len(ids) ORDER BY turn) AS lens FROM {_IDS} GROUP BY conv_id),
+p AS (SELECT conv_id, flatten(list_transform(lens, lambda n: range(0, n))) AS pos, flatten(list_transform(lens, lambda n: range(n - 1, -1, -1))) AS rem FROM c)
+SELECT conv_id, array_to_string(rem, ',') AS remaining, array_to_string(list_concat(pos, list_transform(range(0, greatest(160 - len(pos), 0)), lambda j: least(pos[-1] + 1 + j, 159))), ',') AS positions FROM p"""
+)
+def pack_remaining(spark, sf_dir):
+    rows = _token_rows(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "ids"))).alias("s"))
+    lens = F.transform("s", lambda x: F.size(x["ids"]))
+    show = lambda c: F.array_join(c.cast("array<string>"), ",")
+    return rows.select("conv_id", show(tokens.remaining(lens)).alias("remaining"), show(tokens.folded_positions(lens, 160)).alias("positions"))
+
+
+@query(
+    f"SELECT conv_id, turn, array_to_string(list_concat(list_transform(range(0, len(ids) // 3), lambda x: 0), list_transform(range(1, len(ids) - len(ids) // 3 + 1), lambda i: (i % 2)::BIGINT)), ',') AS mask FROM {_IDS}"
+)
+def left_pad_shift(spark, sf_dir):
+    """A third of each row is padding on the left; the mask marks every other token."""
+    rows = _token_rows(spark, sf_dir)
+    pad = F.floor(F.size("ids") / 3).cast("int")
+    mask = F.transform("ids", lambda x, i: (i + 1) % 2)
+    attention = F.transform("ids", lambda x, i: F.when(i < pad, 0).otherwise(1))
+    return rows.select("conv_id", "turn", F.array_join(tokens.shift_for_left_pad(mask, attention).cast("array<string>"), ",").alias("mask"))
+
+
 @query(
     f"""SELECT conv_id, turn, array_to_string(ids[1:len(ids) - 1], ',') AS inputs, array_to_string(ids[2:], ',') AS targets,
 array_to_string(list_transform(ids, lambda x, i: CASE WHEN i > len(ids) // 2 THEN x ELSE -100 END), ',') AS labels FROM {_IDS}"""
@@ -790,6 +814,37 @@ def mask_block_topk(spark, sf_dir):
     return out.select("row", F.col("place").cast("long").alias("place"), "picked")
 
 
+# ---------------------------------------------------------------- positions and reports
+
+
+_SPLITS = {"train": (0.0, 0.9), "valid": (0.9, 0.95), "test": (0.95, 1.0)}
+
+
+@query(
+    """WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS total FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL))
+SELECT doc_id, position, position % 4 AS rank, CASE """
+    + " ".join(f"WHEN position >= round_even({lo}::DOUBLE * total, 0) AND position < round_even({hi}::DOUBLE * total, 0) THEN '{name}'" for name, (lo, hi) in _SPLITS.items())
+    + " END AS split FROM p"
+)
+def dense_ids(spark, sf_dir):
+    """Dense index of each document, the rank it goes to and its contiguous split."""
+    out = batching.dense_positions(_docs(spark, sf_dir, "doc_id"), "doc_id")
+    return out.select("doc_id", "position", F.pmod("position", F.lit(4)).cast("long").alias("rank"), batching.named_split("position", "total", _SPLITS).alias("split"))
+
+
+@query(
+    f"""WITH a AS (SELECT role, {NTOK.format('text')} AS n, coalesce(length(text) % 2 = 0, FALSE) AS passed, {_END} = '' AS blank, CASE WHEN {_END} = '' THEN FALSE ELSE right({_END}, 1) NOT IN ({_TERMINALS}) END AS abrupt FROM conversations)
+SELECT role, count(*) AS total, count_if(passed)::BIGINT AS n_passed, round(count_if(passed) / count(*), 4) AS accuracy,
+count_if(blank)::BIGINT AS empty_response, round(count_if(blank) / count(*), 6) AS empty_response_rate, count_if(abrupt)::BIGINT AS abrupt_ending, round(count_if(abrupt) / count(*), 6) AS abrupt_ending_rate,
+count_if(n > 20)::BIGINT AS n_long, round(avg(CASE WHEN n > 20 THEN passed::INT END), 4) AS long_pass_rate, count_if(n <= 20)::BIGINT AS n_short, round(avg(CASE WHEN n <= 20 THEN passed::INT END), 4) AS short_pass_rate FROM a GROUP BY role"""
+)
+def answer_report(spark, sf_dir):
+    """Turns as answers; those of even length stand for passed ones."""
+    rows = _with_tokens(table(spark, sf_dir, "conversations")).withColumn("passed", F.length("text") % 2 == 0)
+    blank = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+$", "") == ""
+    return evaluation.answer_report(rows, ["role"], "n_tokens", "passed", {"empty_response": blank, "abrupt_ending": checks.abrupt_ending("text")}, 20)
+
+
 # ---------------------------------------------------------------- streams
 
 

@@ -105,3 +105,11 @@ def test_edges_never_hide_a_fragment(spark):
     whole, parts = decontam.blocklist(fields)
     found = {(r["doc_id"], r["kind"]) for r in decontam.match(docs, whole, parts, edge_table=decontam.edges(fields)).collect()}
     assert found == {(1, "fragment"), (2, "exact")} == {(r["doc_id"], r["kind"]) for r in decontam.match(docs, whole, parts).collect()}
+
+
+def test_pack_counters_and_left_padding(spark):
+    assert one(spark, tokens.remaining("n"), n=[3, 0, 2]) == [2, 1, 0, 1, 0]
+    assert one(spark, tokens.folded_positions("n", 7), n=[3, 2]) == [0, 1, 2, 0, 1, 2, 3]
+    assert one(spark, tokens.folded_positions("n", 4), n=[4]) == [0, 1, 2, 3]
+    assert one(spark, tokens.shift_for_left_pad("m", "a"), m=[1, 0, 1, 0, 0], a=[0, 0, 1, 1, 1]) == [0, 0, 1, 0, 1]
+    assert one(spark, tokens.shift_for_left_pad("m", "a"), m=[1, 0, 1], a=[1, 1, 1]) == [1, 0, 1]
