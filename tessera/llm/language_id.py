@@ -37,6 +37,8 @@ ORDER = 4
 CHARS = 1_500_000
 #: Characters of labelled text in all: with more languages than fit, each has an equal share.
 TOTAL_CHARS = 200_000_000
+#: The table of languages, a row of three short values each, is broadcast up to this count of rows; beyond it the join shuffles.
+BROADCAST_LANGUAGES = 100_000
 #: A document gives 1 / SHARE of CHARS at most, so a language has SHARE documents in the sample if it has as many.
 SHARE = 10
 UNDETERMINED = "und"
@@ -254,12 +256,13 @@ def training_sample(docs: DataFrame, chars: int = CHARS, total: int = TOTAL_CHAR
     language with a labelled text has one in it.
     """
     docs = docs.where("text is not null and text <> '' and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    most = max(SHARE, min(chars, total // max(1, docs.select("lang").distinct().count())))
+    languages = docs.select("lang").distinct().count()
+    most = max(SHARE, min(chars, total // max(1, languages)))
     part = F.substring("text", 1, most // SHARE)
     docs = docs.select("doc_id", part.alias("text"), "lang", F.length(part).alias("_n"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("_u"))
     size = docs.groupBy("lang").agg(F.sum("_n").alias("_all"), F.min("_u").alias("_first"))
-    # first a coarse draw of four times the bound, without a sort; then the exact cut inside it
-    few = docs.join(size, "lang").where((F.col("_u") * F.col("_all") <= 4 * most) | (F.col("_u") == F.col("_first")))
+    # first a coarse draw of four times the bound, without a shuffle of texts or a sort; then the exact cut inside it
+    few = docs.join(F.broadcast(size) if languages <= BROADCAST_LANGUAGES else size, "lang").where((F.col("_u") * F.col("_all") <= 4 * most) | (F.col("_u") == F.col("_first")))
     so_far = F.sum("_n").over(Window.partitionBy("lang").orderBy("_u", "doc_id", "_n", "text").rowsBetween(Window.unboundedPreceding, 0))
     return few.withColumn("_sum", so_far).where(F.col("_sum") <= most).select("doc_id", "text", "lang", "_u")
 
