@@ -98,6 +98,63 @@ def segments(lengths: Column | str) -> Column:
     return F.flatten(F.transform(_col(lengths), lambda n, i: F.array_repeat(i + 1, n.cast("int"))))
 
 
+def causal_starts(lengths: Column | str) -> Column:
+    """For each token of a pack the first place that it sees: the start of its own sequence.  With the token's own place it says
+    the same as the block-causal mask, in one number a token."""
+    lens = F.transform(_col(lengths), lambda n: F.greatest(n.cast("int"), F.lit(0)))
+    before = lambda i: F.aggregate(F.slice(lens, F.lit(1), i), F.lit(0), lambda acc, x: acc + x)
+    return F.flatten(F.transform(lens, lambda n, i: F.array_repeat(before(i), n)))
+
+
+def block_causal_mask(segment_ids: Column | str) -> Column:
+    """array<array<boolean>>: token i sees token j if j <= i and both bear the same segment id, 0 (padding) apart."""
+    ids = _col(segment_ids)
+    return F.transform(ids, lambda x, i: F.transform(ids, lambda y, j: (x == y) & (x != 0) & (j <= i)))
+
+
+def additive_mask(mask: Column | str, low: float = float("-inf")) -> Column:
+    """0 where a mask is true, ``low`` elsewhere."""
+    return F.transform(_col(mask), lambda row: F.transform(row, lambda x: F.when(x, F.lit(0.0)).otherwise(F.lit(low))))
+
+
+def lengths_fill(lengths: Column | str, n: Column | int) -> Column:
+    """Whether the lengths are none below 0 and sum to n."""
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.forall(_col(lengths), lambda x: x >= 0) & (F.aggregate(_col(lengths), F.lit(0).cast("long"), lambda acc, x: acc + x) == n)
+
+
+def equal_lengths(*arrays: Column | str) -> Column:
+    """Whether all arrays have the same number of elements (a null array has none of its own)."""
+    sizes = [F.coalesce(F.size(_col(a)), F.lit(-1)) for a in arrays]
+    return F.array_min(F.array(*sizes)) == F.array_max(F.array(*sizes))
+
+
+def consistent_prefix(prefix: Column | str, full: Column | str, trailing: int | None = None) -> Column:
+    """Whether ``full`` begins with ``prefix``; with ``trailing``, a prefix of two tokens or more may end with that token instead."""
+    p, f = _col(prefix), _col(full)
+    n = F.size(p)
+    same = F.slice(f, F.lit(1), n) == p
+    if trailing is not None:
+        but_last = F.greatest(n - 1, F.lit(0))
+        same = same | ((n > 1) & (F.try_element_at(p, F.lit(-1)) == trailing) & (F.slice(f, F.lit(1), but_last) == F.slice(p, F.lit(1), but_last)))
+    return (n <= F.size(f)) & same
+
+
+def _common_head(a: Column, b: Column, most: Column) -> Column:
+    """How many of the first ``most`` elements agree before the first that does not."""
+    differs = F.array_position(F.zip_with(F.slice(a, F.lit(1), most), F.slice(b, F.lit(1), most), lambda x, y: F.when(x == y, 0).otherwise(1)), 1)
+    return F.when(differs > 0, differs - 1).otherwise(most).cast("int")
+
+
+def reasoning_span(full: Column | str, masked: Column | str) -> Column:
+    """struct<start, end>: the tokens of ``full`` between the longest common head and tail with ``masked``; null if there are none."""
+    f, m = _col(full), _col(masked)
+    head = _common_head(f, m, F.least(F.size(f), F.size(m)))
+    tail = _common_head(F.reverse(f), F.reverse(m), F.least(F.size(f), F.size(m)) - head)
+    end = F.size(f) - tail
+    return F.when(end > head, F.struct(head.alias("start"), end.alias("end")))
+
+
 def expand_placeholder(ids: Column | str, placeholder: int, n: Column | int) -> Column:
     """Each placeholder becomes n of them."""
     n = F.lit(n) if isinstance(n, int) else n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,3 +140,42 @@ def chrf(pairs: Sequence[tuple[str, str]], chars: int = 6, words: int = 2, beta:
         p, r = hit / n_h if n_h else 0.0, hit / n_r if n_r else 0.0
         scores.append((1 + beta**2) * p * r / (beta**2 * p + r) if p + r else 0.0)
     return 100 * sum(scores) / len(scores) if scores else 0.0
+
+
+def failure_modes(modes: Mapping[str, Column]) -> Column:
+    """Names of the modes that hold, in the order given."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in modes.items()]))
+
+
+def first_field(record: Column | str, names: Sequence[str], default: str) -> Column:
+    """Value of the first of the names that a map holds; else the default."""
+    m = F.col(record) if isinstance(record, str) else record
+    return F.coalesce(*[F.try_element_at(m, F.lit(n)) for n in names], F.lit(default))
+
+
+def pass_flag(scores: Column | str, names: Sequence[str] = ("prompt_level_strict_acc", "exact_match")) -> Column:
+    """Whether an answer passed, from a map of scores: the first of the names it holds, else the first key made of digits, else false."""
+    m = F.col(scores) if isinstance(scores, str) else scores
+    digits = F.filter(F.map_keys(m), lambda k: k.rlike("^[0-9]+$"))
+    value = F.coalesce(*[F.try_element_at(m, F.lit(n)) for n in names], F.try_element_at(m, F.get(digits, 0)), F.lit(0.0))
+    return value != 0
+
+
+def sweep_report(results: DataFrame, by: Sequence[str], error: Column, completed: str, metrics: Sequence[str]) -> DataFrame:
+    """Per group: runs, runs without error, what those completed, and the means of the metrics weighted by it."""
+    ok = results.withColumn("_ok", ~error)
+    means = [weighted_mean(F.when(F.col("_ok"), F.col(m)), completed).alias(m) for m in metrics]
+    return ok.groupBy(*by).agg(F.count("*").alias("runs"), F.count_if("_ok").alias("runs_ok"), F.coalesce(F.sum(F.when(F.col("_ok"), F.col(completed))), F.lit(0)).alias("completed"), *means)
+
+
+def top_rows(rows: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
+    """The first n rows of an order, for a report."""
+    return rows.orderBy(*by).limit(n)
+
+
+def strategy_comparison(rows: DataFrame, strategies: Mapping[str, Column]) -> DataFrame:
+    """strategy, kept, removed and whether all strategies keep the same number, in one pass."""
+    counts = rows.agg(F.count("*").alias("_all"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in strategies.items()])  # one row
+    kept = F.array(*[F.col(n) for n in strategies])
+    items = F.array(*[F.struct(F.lit(n).alias("strategy"), F.col(n).alias("kept"), (F.col("_all") - F.col(n)).alias("removed"), (F.array_min(kept) == F.array_max(kept)).alias("agree")) for n in strategies])
+    return counts.select(F.inline(items))

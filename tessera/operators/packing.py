@@ -143,3 +143,17 @@ def blend(weights: Sequence[float], size: int, limits: Sequence[int] | None = No
         samples.append(drawn[best])
         drawn[best] += 1
     return datasets, samples
+
+
+def split_packs(df: DataFrame, by: Sequence[str], order: Sequence[str], length: str, size: int) -> DataFrame:
+    """Sequences of a group laid end to end and cut every ``size`` tokens: a row for each piece of a sequence in a pack.
+
+    Adds pack, piece_from (first token of the sequence in it) and piece_len; empty sequences have no piece.  ``by`` names
+    groups of bounded size (shards, conversations): a group is numbered in one task.
+    """
+    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.where(F.col(length) > 0).withColumn("_from", F.coalesce(F.sum(length).over(before), F.lit(0)))
+    end = F.col("_from") + F.col(length)
+    rows = rows.withColumn("pack", F.explode(F.sequence(F.floor(F.col("_from") / size), F.floor((end - 1) / size))))
+    first = F.greatest("_from", F.col("pack") * size)
+    return rows.withColumns({"piece_from": first - F.col("_from"), "piece_len": F.least(end, (F.col("pack") + 1) * size) - first}).drop("_from")

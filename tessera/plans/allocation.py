@@ -158,3 +158,20 @@ def blend_sizes(total: int, weights: Sequence[float], surplus: float = 0.005) ->
 
 def epochs_needed(tokens_per_epoch: int, wanted: int) -> int:
     return math.ceil(wanted / tokens_per_epoch) if tokens_per_epoch else 0
+
+
+def allocate_counts_frame(cells: DataFrame, group: Sequence[str], key: str, weight: str, total: Column) -> DataFrame:
+    """Adds ``records``: a whole share of the group's total by weight; what floors leave goes to the largest fractions, of equal
+    ones to the last key.  Groups are cells of one parent, a row each."""
+    whole = Window.partitionBy(*group)
+    exact = cells.withColumns({"_total": total.cast("long"), "_exact": total * F.col(weight) / F.sum(weight).over(whole)})
+    exact = exact.withColumns({"_floor": F.floor("_exact"), "_part": F.round(F.col("_exact") - F.floor("_exact"), 9)})
+    left = F.col("_total") - F.sum("_floor").over(whole)
+    rank = F.row_number().over(whole.orderBy(F.desc("_part"), F.desc(key)))
+    return exact.withColumn("records", F.col("_floor") + F.when(rank <= left, 1).otherwise(0)).drop("_total", "_exact", "_floor", "_part")
+
+
+def normalised(weight: Column | str, *by: str) -> Column:
+    """The weight's share of the sum, over all rows or within groups."""
+    w = F.col(weight) if isinstance(weight, str) else weight
+    return w / F.sum(w).over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1)))  # a row per source

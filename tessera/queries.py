@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import chat, media, text, tokens
-from tessera.operators import batching, checks, corruption, decontam, dedup, evaluation, ladder, packing, profile, retrieval, sampling
+from tessera.operators import batching, checks, corruption, decontam, dedup, evaluation, ladder, packing, profile, retrieval, samplers, sampling
 from tessera.plans import allocation
 from tessera.streaming import streams
 
@@ -845,6 +845,188 @@ def answer_report(spark, sf_dir):
     return evaluation.answer_report(rows, ["role"], "n_tokens", "passed", {"empty_response": blank, "abrupt_ending": checks.abrupt_ending("text")}, 20)
 
 
+# ---------------------------------------------------------------- batches, packs and masks
+
+
+_POSITIONS = "(SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS total FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL))"
+
+
+@query(
+    f"""WITH p AS (SELECT position, position AS slot FROM {_POSITIONS} UNION ALL SELECT -k, total + k - 1 FROM (SELECT max(total) AS total FROM {_POSITIONS}), range(1, 25) r(k) WHERE k <= (24 - total % 24) % 24)
+SELECT position, slot // 12 AS step, slot % 12 // 4 AS rank, slot % 12 % 4 AS place FROM p"""
+)
+def sequential_batches(spark, sf_dir):
+    """Micro-batches of four for three ranks, filled up to global batches of 24."""
+    rows = samplers.sequential_batches(batching.dense_positions(_docs(spark, sf_dir, "doc_id"), "doc_id"), 4, 3, drop_last=False, pad_to=24)
+    return rows.select("position", "step", "rank", "place")
+
+
+@query(
+    f"""WITH p AS (SELECT *, total // 12 AS steps FROM {_POSITIONS}), e AS (SELECT *, 228 // (steps * 12) AS epoch, 228 % (steps * 12) // 3 AS skip, position // (steps * 4) AS rank FROM p),
+o AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY {_fraction('r', 'epoch', 'position')}, position) - 1 AS place FROM e WHERE rank < 3)
+SELECT doc_id, epoch, rank, (place - skip) // 4 AS step FROM o WHERE place >= skip"""
+)
+def random_batches(spark, sf_dir):
+    """What is left of an epoch after 228 samples."""
+    rows = samplers.random_batches(batching.dense_positions(_docs(spark, sf_dir, "doc_id"), "doc_id"), 4, 3, "r", 228)
+    return rows.select("doc_id", "epoch", "rank", "step")
+
+
+@query(
+    f"""WITH r AS (SELECT doc_id, epoch FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), range(3) e(epoch))
+SELECT doc_id, epoch, row_number() OVER (ORDER BY epoch = 2, {_fraction('d', 'epoch', 'doc_id')}, epoch, doc_id) - 1 AS position FROM r"""
+)
+def document_index(spark, sf_dir):
+    """Three epochs, the last one apart."""
+    return samplers.document_index(_docs(spark, sf_dir, "doc_id").where("doc_id is not null").distinct(), "doc_id", 3, "d", True)
+
+
+_TURNS = f"(SELECT conv_id, turn, {NTOK.format('text')} AS n FROM conversations)"
+_LAID = f"(SELECT *, coalesce(sum(n) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM {_TURNS})"
+
+
+@query(
+    f"""WITH p AS (SELECT conv_id, turn, n, start, unnest(range(start // 64, (start + n - 1) // 64 + 1)) AS pack FROM {_LAID} WHERE n > 0)
+SELECT conv_id, turn, pack, greatest(start, pack * 64) - start AS piece_from, least(start + n, (pack + 1) * 64) - greatest(start, pack * 64) AS piece_len FROM p"""
+)
+def split_packs(spark, sf_dir):
+    """Turns of a conversation end to end, cut every 64 tokens."""
+    rows = _with_tokens(table(spark, sf_dir, "conversations"))
+    return packing.split_packs(rows, ["conv_id"], ["turn"], "n_tokens", 64).select("conv_id", "turn", "pack", "piece_from", "piece_len")
+
+
+@query(
+    f"""SELECT conv_id, sum(n)::BIGINT AS n_tokens, sum(n * (n + 1) // 2)::BIGINT AS visible, coalesce(string_agg(array_to_string(list_transform(range(n), lambda i: start), ','), ',' ORDER BY turn) FILTER (WHERE n > 0), '') AS starts
+FROM {_LAID} GROUP BY conv_id"""
+)
+def causal_starts(spark, sf_dir):
+    """The block-causal mask of each conversation packed turn by turn: what each token sees first, and how many pairs see each other."""
+    rows = _with_tokens(table(spark, sf_dir, "conversations"))
+    lens = F.transform(F.array_sort(F.collect_list(F.struct("turn", "n_tokens"))), lambda x: x["n_tokens"])
+    rows = rows.groupBy("conv_id").agg(lens.alias("lens")).withColumn("starts", tokens.causal_starts("lens"))
+    visible = F.aggregate(F.transform("starts", lambda s, i: i - s + 1), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return rows.select("conv_id", F.size("starts").cast("long").alias("n_tokens"), visible.alias("visible"), F.array_join(F.col("starts").cast("array<string>"), ",").alias("starts"))
+
+
+_SPAN_ROWS = """(SELECT *, len(f) AS nf, len(m) AS nm, least(len(f), len(m)) AS k FROM (SELECT conv_id, turn, f, list_concat(f[1:len(f) // 3], f[(2 * len(f)) // 3 + 1:]) AS m
+FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda t: t <> '') AS f FROM conversations)))"""
+
+
+@query(
+    f"""WITH h AS (SELECT *, coalesce(list_min(list_filter(range(1, k + 1), lambda i: f[i] <> m[i])) - 1, k) AS head FROM {_SPAN_ROWS}),
+t AS (SELECT *, nf - coalesce(list_min(list_filter(range(1, k - head + 1), lambda i: f[nf + 1 - i] <> m[nm + 1 - i])) - 1, k - head) AS stop FROM h)
+SELECT conv_id, turn, CASE WHEN stop > head THEN head END AS span_from, CASE WHEN stop > head THEN stop END AS span_to, nf = nm AS same_length, nm <= nf AND f[1:nm] = m AS prefix FROM t"""
+)
+def reasoning_spans(spark, sf_dir):
+    """Turns against themselves without the middle third."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda t: t != "")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", words.alias("f"))
+    n = F.size("f")
+    rest = F.concat(F.slice("f", F.lit(1), F.floor(n / 3).cast("int")), F.slice("f", F.floor(2 * n / 3).cast("int") + 1, n))
+    rows = rows.withColumn("m", rest).withColumn("span", tokens.reasoning_span("f", "m"))
+    return rows.select("conv_id", "turn", F.col("span.start").cast("long").alias("span_from"), F.col("span.end").cast("long").alias("span_to"), tokens.equal_lengths("f", "m").alias("same_length"), tokens.consistent_prefix("m", "f").alias("prefix"))
+
+
+# ---------------------------------------------------------------- reports on answers
+
+
+@query(
+    f"""SELECT conv_id, turn, {NTOK.format('text')} AS n_words, length(text)::BIGINT AS n_chars, coalesce(array_to_string(list_filter([
+CASE WHEN length(text) >= 0.9 * 4 * 40 AND NOT ends_with(text, '</s>') THEN 'missing_eos' END, CASE WHEN {_END} = '' THEN 'empty_response' END,
+CASE WHEN {_END} <> '' AND right({_END}, 1) NOT IN ({_TERMINALS}) THEN 'abrupt_ending' END], lambda x: x IS NOT NULL), ','), '') AS modes FROM conversations"""
+)
+def failure_modes(spark, sf_dir):
+    blank = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+$", "") == ""
+    modes = evaluation.failure_modes({"missing_eos": checks.missing_end("text", 40, "</s>"), "empty_response": blank, "abrupt_ending": checks.abrupt_ending("text")})
+    return _with_tokens(table(spark, sf_dir, "conversations")).select("conv_id", "turn", F.col("n_tokens").alias("n_words"), F.length("text").cast("long").alias("n_chars"), F.array_join(modes, ",").alias("modes"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN quality ELSE toxic END <> 0 AS passed, CASE WHEN doc_id % 2 = 0 THEN 'q' || doc_id ELSE '(no prompt found)' END AS prompt FROM labels")
+def pass_flags(spark, sf_dir):
+    """Labels as scores under the names that benchmarks give them."""
+    entry = lambda **kw: F.create_map(*[x for k, c in kw.items() for x in (F.lit(k.lstrip("_")), F.col(c).cast("double"))])
+    scores = F.when(F.col("doc_id") % 3 == 0, entry(exact_match="quality", prompt_level_strict_acc="toxic")).when(F.col("doc_id") % 3 == 1, entry(exact_match="toxic")).otherwise(entry(_4096="quality"))
+    record = F.when(F.col("doc_id") % 2 == 0, F.create_map(F.lit("question"), F.concat(F.lit("q"), F.col("doc_id").cast("string")))).otherwise(F.create_map(F.lit("other"), F.lit("x")))
+    prompt = evaluation.first_field(record, ["prompt", "question", "input"], "(no prompt found)")
+    return table(spark, sf_dir, "labels").select("doc_id", evaluation.pass_flag(scores).alias("passed"), prompt.alias("prompt"))
+
+
+@query(
+    """WITH e AS (SELECT *, user_id % 5 <> 0 AS ok FROM events) SELECT event_type, count(*) AS runs, count_if(ok)::BIGINT AS runs_ok, coalesce(sum(user_id) FILTER (WHERE ok), 0)::BIGINT AS completed,
+round(sum(value * user_id) FILTER (WHERE ok) / nullif(sum(user_id) FILTER (WHERE ok AND value IS NOT NULL), 0), 6) AS value FROM e GROUP BY event_type"""
+)
+def sweep_report(spark, sf_dir):
+    """Events as runs; those of every fifth user stand for runs with an error."""
+    out = evaluation.sweep_report(table(spark, sf_dir, "events"), ["event_type"], F.col("user_id") % 5 == 0, "user_id", ["value"])
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query("SELECT event_id, CASE WHEN user_id > 0 AND value > 0 THEN round(user_id / value, 6) END AS per_second FROM events")
+def output_throughput(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.round(samplers.throughput("user_id", "value"), 6).alias("per_second"))
+
+
+@query(
+    f"""WITH c AS (SELECT count(*) AS total, count_if({NTOK.format("role || ' ' || text")} <= 20)::BIGINT AS template, count_if({NTOK.format('text')} + 1 <= 20)::BIGINT AS rendered, count_if({NTOK.format('text')} <= 20)::BIGINT AS words FROM conversations)
+SELECT strategy, kept, total - kept AS removed, template = rendered AND rendered = words AS agree FROM (SELECT *, unnest(['template', 'rendered', 'words']) AS strategy, unnest([template, rendered, words]) AS kept FROM c)"""
+)
+def strategy_comparison(spark, sf_dir):
+    """Ways to keep what is at most 20 tokens long."""
+    n = text.token_count("text")
+    ways = {"template": text.token_count(F.concat_ws(" ", "role", "text")) <= 20, "rendered": n + 1 <= 20, "words": n <= 20}
+    return evaluation.strategy_comparison(table(spark, sf_dir, "conversations"), ways)
+
+
+@query(f"SELECT conv_id, turn, n AS n_words FROM {_TURNS} ORDER BY n DESC, conv_id, turn LIMIT 10")
+def top_longest(spark, sf_dir):
+    """The ten longest turns."""
+    rows = _with_tokens(table(spark, sf_dir, "conversations")).select("conv_id", "turn", F.col("n_tokens").alias("n_words"))
+    return evaluation.top_rows(rows, [F.desc("n_words"), F.asc("conv_id"), F.asc("turn")], 10)
+
+
+# ---------------------------------------------------------------- retrieval batches and targets
+
+
+@query("SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, count(*) OVER (PARTITION BY conv_id) AS n_passages, 'question:' || conv_id || ' ' || chr(10) || ' ' || chr(10) || ' passage:' || coalesce(text, '') AS text FROM conversations")
+def cross_encoder_rows(spark, sf_dir):
+    """A conversation's id asks, its turns are the passages."""
+    passages = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))), lambda x: x["text"])
+    examples = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(passages.alias("passages"))
+    return retrieval.cross_encoder_rows(examples, "conv_id", "passages").select("conv_id", "place", "n_passages", "text")
+
+
+@query("SELECT p.conv_id AS batch, p.turn AS query, o.turn AS column FROM conversations p JOIN conversations o ON p.conv_id = o.conv_id AND p.role = o.role AND p.turn <> o.turn")
+def same_document_negatives(spark, sf_dir):
+    """Conversations as batches, roles as documents: each turn asks for its own."""
+    t = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("batch"), F.col("turn").alias("column"), F.col("role").alias("doc"))
+    return retrieval.same_document_negatives(t.select("batch", F.col("column").alias("query"), "column"), t)
+
+
+def _allocated(x: str, group: str, key: str, total: str) -> str:
+    return f"floor({x})::BIGINT + CASE WHEN row_number() OVER (PARTITION BY {group} ORDER BY round({x} - floor({x}), 9) DESC, {key} DESC) <= {total} - sum(floor({x})) OVER (PARTITION BY {group}) THEN 1 ELSE 0 END"
+
+
+@query(
+    f"""WITH c AS (SELECT DISTINCT lang, CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'mid' ELSE 'long' END AS task, source FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL),
+t AS (SELECT *, 100 * w / sum(w) OVER (PARTITION BY lang) AS x FROM (SELECT DISTINCT lang, task, CASE task WHEN 'short' THEN 3.0::DOUBLE WHEN 'mid' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM c)),
+r AS (SELECT lang, task, {_allocated('x', 'lang', 'task', '100')} AS total FROM t), s AS (SELECT c.*, total, total / count(*) OVER (PARTITION BY c.lang, c.task) AS x FROM c JOIN r ON c.lang = r.lang AND c.task = r.task)
+SELECT lang, task, source, {_allocated('x', 'lang, task', 'source', 'total')} AS records FROM s"""
+)
+def validation_targets(spark, sf_dir):
+    """A hundred records a language: tasks by weight, then sources alike."""
+    task = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "mid").otherwise("long")
+    cells = table(spark, sf_dir, "documents", "lang", "source", "n_chars").where("lang is not null and source is not null").select("lang", task.alias("task"), "source").distinct()
+    weight = F.when(F.col("task") == "short", 3.0).when(F.col("task") == "mid", 2.0).otherwise(1.0)
+    tasks = allocation.allocate_counts_frame(cells.select("lang", "task").distinct().withColumn("w", weight), ["lang"], "task", "w", F.lit(100))
+    sources = cells.join(tasks.select("lang", "task", F.col("records").alias("total")), ["lang", "task"]).withColumn("w", F.lit(1.0))
+    return allocation.allocate_counts_frame(sources, ["lang", "task"], "source", "w", F.col("total")).select("lang", "task", "source", "records")
+
+
+@query("SELECT source, round(count(*) / sum(count(*)) OVER (), 9) AS weight FROM documents GROUP BY source")
+def normalised_weights(spark, sf_dir):
+    return _docs(spark, sf_dir, "source").groupBy("source").agg(F.count("*").alias("n")).select("source", F.round(allocation.normalised("n"), 9).alias("weight"))
+
+
 # ---------------------------------------------------------------- streams
 
 
