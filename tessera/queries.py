@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import chat, media, text, tokens
 from tessera.operators import batching, checks, corruption, decontam, dedup, evaluation, ladder, packing, profile, retrieval, samplers, sampling
 from tessera.plans import allocation
+from tessera.sources import adapters, readers, sinks
 from tessera.streaming import streams
 
 QUERIES: dict = {}
@@ -1027,19 +1028,148 @@ def normalised_weights(spark, sf_dir):
     return _docs(spark, sf_dir, "source").groupBy("source").agg(F.count("*").alias("n")).select("source", F.round(allocation.normalised("n"), 9).alias("weight"))
 
 
-# ---------------------------------------------------------------- streams
+# ---------------------------------------------------------------- sources, sinks and adapters
 
 
-@query("SELECT DISTINCT user_id, event_type FROM events")
-def stream_dedup(spark, sf_dir):
-    """Users and event types of the rows that a file stream's de-duplication keeps, run to its end into a file sink."""
+def _folder(spark, name: str) -> str:
+    """A new folder that driver and executors share."""
     import tempfile
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = f"{shared or tempfile.gettempdir()}/stream_dedup-{uuid.uuid4().hex}"
+    return f"{shared or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    f"SELECT lang || '__' || source || '__' || substr(md5(lang || {SEP} || source), 1, 8) AS dataset, doc_id, lang, source AS task, md5(coalesce(text, '')) AS answer FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL"
+)
+def mixture_round_trip(spark, sf_dir):
+    """Documents as two turns in JSON shards with a manifest, read back from the manifest."""
+    docs = _docs(spark, sf_dir).where("lang is not null and source is not null")
+    rows = docs.select("doc_id", chat.two_turns(F.lit("Write."), F.coalesce("text", F.lit(""))).alias("messages"), "lang", F.col("source").alias("task"), "source")
+    folder = _folder(spark, "mixture")
+    sinks.write_mixture(rows, folder)
+    back = readers.manifest_records(spark, f"{folder}/manifest.json", f"doc_id long, {readers.CHAT_SCHEMA}")
+    return back.select("dataset", "doc_id", "lang", "task", F.md5(F.col("messages")[1]["content"]).alias("answer"))
+
+
+@query("SELECT conv_id, count(*) AS turns, string_agg(role, ',' ORDER BY turn) AS roles, md5(coalesce(string_agg(text, chr(10) ORDER BY turn), '')) AS texts FROM conversations GROUP BY conv_id")
+def chat_file_round_trip(spark, sf_dir):
+    """Conversations as JSON lines, read back as chat rows."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
+    folder = _folder(spark, "chat")
+    rows.write.json(folder)
+    back = readers.read_messages(spark, folder, schema=f"conv_id long, {readers.CHAT_SCHEMA}")
+    part = lambda f: F.transform("messages", lambda m: m[f])
+    return back.select("conv_id", F.size("messages").cast("long").alias("turns"), F.array_join(part("role"), ",").alias("roles"), F.md5(F.array_join(part("content"), "\n")).alias("texts"))
+
+
+@query("SELECT form, n_nationkey, n_name FROM nation, (VALUES ('array'), ('lines')) f(form)")
+def json_forms(spark, sf_dir):
+    """The nations as one JSON array and as JSON lines."""
+    import json
+
+    rows = [r.asDict() for r in table(spark, sf_dir, "nation", "n_nationkey", "n_name").collect()]  # 25 rows at any size
+    folder, parts = _folder(spark, "json"), []
+    for form, body in (("array", json.dumps(rows)), ("lines", "\n".join(map(json.dumps, rows)))):
+        sinks.write_text(spark, f"{folder}/{form}.json", body)
+        parts.append(readers.read_json_or_lines(spark, f"{folder}/{form}.json", "n_nationkey int, n_name string").withColumn("form", F.lit(form)))
+    return parts[0].unionByName(parts[1])
+
+
+@query("SELECT 'n' || a.n_nationkey AS question_id, a.n_name AS question, 'nations' AS corpus_id, string_agg(b.n_nationkey::VARCHAR, ',' ORDER BY b.n_nationkey) AS pos_doc FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey GROUP BY ALL")
+def retrieval_file(spark, sf_dir):
+    """A retrieval file: each nation asks for those of its region."""
+    import json
+
+    rows = sorted((r.asDict() for r in table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey").collect()), key=lambda r: r["n_nationkey"])  # 25 rows at any size
+    data = [{"question_id": f"n{r['n_nationkey']}", "question": r["n_name"], "corpus_id": "nations", "pos_doc": [{"id": str(x["n_nationkey"])} for x in rows if x["n_regionkey"] == r["n_regionkey"]], "neg_doc": []} for r in rows]
+    path = f"{_folder(spark, 'retrieval')}/queries.json"
+    sinks.write_text(spark, path, json.dumps({"corpus": [{"path": "nations"}], "data": data}))
+    found, _ = readers.read_retrieval(spark, path)
+    return found.select("question_id", "question", "corpus_id", F.array_join("pos_doc", ",").alias("pos_doc"))
+
+
+@query("SELECT conv_id || '-' || turn AS question_id, text AS question, role AS pos_doc, 1 AS n_pos, 2 AS n_neg FROM conversations")
+def inline_retrieval(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations")
+    rows = t.select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.col("text").alias("query"), F.col("role").alias("pos_doc"), F.array("role", "text").alias("neg_doc"))
+    out = readers.read_inline_retrieval(rows, "turns")
+    return out.select("question_id", "question", F.col("pos_doc")[0].alias("pos_doc"), F.size("pos_doc").alias("n_pos"), F.size("neg_doc").alias("n_neg"))
+
+
+@query("SELECT md5(text) AS answer, source AS context, lang AS question FROM documents WHERE trim(coalesce(text, '')) <> ''")
+def mapped_columns(spark, sf_dir):
+    out = readers.map_columns(_docs(spark, sf_dir), {"context": "source", "question": "lang", "answer": "text"})
+    return out.withColumn("answer", F.md5("answer"))
+
+
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda t: t <> '')"
+
+
+@query(
+    f"""SELECT path, len(w)::BIGINT AS n_tokens, array_to_string(list_transform(range(0, len(w), 3), lambda i: 'PER:' || array_to_string(w[i + 1:i + 2], ' ')), '|') AS spans
+FROM (SELECT conv_id || '-' || turn AS path, {_WORDS} AS w FROM conversations) WHERE len(w) > 0"""
+)
+def conll_entities(spark, sf_dir):
+    """Each turn as a CoNLL file: of three words the first opens an entity and the second goes on with it."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda t: t != "")
+    tag = lambda i: F.when(i % 3 == 0, "B-PERS").when(i % 3 == 1, "I-PERS").otherwise("O")
+    files = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("path"), F.array_join(F.transform(words, lambda w, i: F.concat_ws(" ", w, tag(i))), "\n").alias("value"))
+    rows = readers.conll_sentences(files).withColumn("spans", readers.bio_spans("tokens", "tags"))
+    return rows.select("path", F.size("tokens").cast("long").alias("n_tokens"), F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["type"], s["text"])), "|").alias("spans"))
+
+
+def _turn(i: int):
+    return F.col("messages")[i]["content"]
+
+
+@query("SELECT doc_id, lang, md5(trim('Topic of:' || chr(10) || text)) AS asked, trim(source) AS answer FROM documents WHERE text IS NOT NULL AND trim(source) <> '' AND lang IS NOT NULL")
+def adapted_topics(spark, sf_dir):
+    out = adapters.adapt(_docs(spark, sf_dir), "topics", "documents", ["text"], ["source"], lang="lang", template="Topic of:\n{user}", extra=["doc_id"])
+    return out.select("doc_id", "lang", F.md5(_turn(0)).alias("asked"), _turn(1).alias("answer"))
+
+
+def _way(a: str, b: str, x: str, y: str, where: str) -> str:
+    return f"SELECT '{a}-{b}' AS direction, '{b}' AS lang, 'Translate from {a} to {b}:' || chr(10) || trim({x}) AS asked, trim({y}) AS answer FROM conversations WHERE trim({x}) <> '' AND trim({y}) <> ''{where}"
+
+
+@query(_way("role", "turn", "role", "text", f" AND {CANON.format('role')} <> {CANON.format('text')}") + " UNION ALL " + _way("turn", "role", "text", "role", ""))
+def translated_pairs(spark, sf_dir):
+    """Roles and texts as the two sides of a translation, both ways."""
+    out = adapters.translations(table(spark, sf_dir, "conversations"), "turns", [("role", "role", "turn", "text")])
+    return out.select("direction", "lang", _turn(0).alias("asked"), _turn(1).alias("answer"))
+
+
+@query("SELECT page_id, lang, md5(text) AS text FROM (SELECT page_id, unnest(['url', 'html']) AS lang, unnest([url, html]) AS text FROM pages) WHERE trim(text) <> ''")
+def unpivoted_languages(spark, sf_dir):
+    out = adapters.unpivot_languages(table(spark, sf_dir, "pages"), "page_id", {"url": "url", "html": "html"})
+    return out.withColumn("text", F.md5("text"))
+
+
+@query("SELECT role AS side_a, split_part(text, chr(9), 1) AS side_b FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL")
+def tab_pairs(spark, sf_dir):
+    lines = table(spark, sf_dir, "conversations").where("text is not null and role is not null").select(F.concat_ws("\t", "role", "text").alias("value"))
+    return adapters.two_columns(lines, "side_a", "side_b")
+
+
+@query("SELECT conv_id, turn, text AS asked, role AS model FROM conversations WHERE text IS NOT NULL")
+def markup_turns(spark, sf_dir):
+    marked = F.concat(F.lit("<start_of_turn>user\n"), "text", F.lit("<end_of_turn>\n<start_of_turn>model\n"), "role", F.lit("<end_of_turn>"))
+    rows = table(spark, sf_dir, "conversations").where("text is not null").withColumn("markup", marked)
+    return adapters.markup_turns(rows, "markup").select("conv_id", "turn", F.col("user").alias("asked"), "model")
+
+
+# ---------------------------------------------------------------- streams
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf_dir):
+    """Users and event types of the rows that a file stream's de-duplication keeps, run to its end into a file sink."""
+    folder = _folder(spark, "stream_dedup")
     events = table(spark, sf_dir, "events")
     stream = streams.read_stream(spark, f"{sf_dir}/events.parquet*", events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
     streams.run_available(streams.dedup_stream(stream, ["user_id", "event_type"], "ts"), f"{folder}/out", f"{folder}/state")
