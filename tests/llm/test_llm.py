@@ -659,3 +659,13 @@ def test_pipeline(spark):
         columns = kept.columns
         kept = common.cut(stage(spark, kept, SF))
         assert kept.columns == columns
+
+
+def test_language_sample_is_the_same_beyond_the_broadcast_bound(spark, monkeypatch):
+    from tessera.llm import language_id
+
+    rows = spark.createDataFrame([(i, "word " * (i % 7 + 1), f"l{i % 3}" if i % 11 else None) for i in range(300)], "doc_id long, text string, lang string")
+    sample = lambda: sorted(map(tuple, language_id.training_sample(rows, chars=400).collect()))
+    joined = sample()
+    monkeypatch.setattr(language_id, "BROADCAST_LANGUAGES", 0)
+    assert joined and sample() == joined
