@@ -24,10 +24,14 @@ def _col(c: Column | str) -> Column:
 PLAIN = r"^[\t-\r\x20-\x7EÀ-ÖØ-öø-ÿŒœ–—‘’“”]*$"
 
 
+def canonical_form(text: str) -> str:
+    """Exact canonical form: NFKC, casefold, white space collapsed."""
+    return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
+
+
 @F.pandas_udf(StringType())
 def canonical_udf(text):
-    """Exact canonical form: NFKC, casefold, white space collapsed."""
-    return text.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()))
+    return text.map(lambda x: None if x is None else canonical_form(x))
 
 
 def canonical(text: Column | str) -> Column:
@@ -63,14 +67,6 @@ def _windows(t: Column, n: int) -> Column:
     return F.when(F.size(t) >= n, F.array_distinct(windows)).otherwise(F.array().cast("array<string>"))
 
 
-def window_edges(canonical_text: Column | str, n: int = FRAGMENT_TOKENS) -> Column:
-    """Hashes of a canonical text as a whole and of the first and last token of all its n-token windows: equal texts or fragments
-    have equal ones."""
-    c = _col(canonical_text)
-    pairs = lambda t: F.transform(F.slice(t, 1, F.greatest(F.size(t) - (n - 1), F.lit(0))), lambda x, i: F.xxhash64(x, F.get(t, i + (n - 1))))
-    return F.concat(F.array(F.xxhash64(c)), F.element_at(F.transform(F.array(F.split(c, " ")), pairs), 1))
-
-
 def hash_fraction(seed: str, *parts: Column | str) -> Column:
     """Uniform fraction in [0, 1) from a seeded md5 of the parts; the same in every SQL engine."""
     key = F.concat_ws("\x1f", F.lit(seed), *[_col(p).cast("string") for p in parts])

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.text import canonical, digest, fragments, window_edges
+from tessera.functions.text import FRAGMENT_TOKENS, canonical, canonical_form, digest, fragments
 
 #: Blocklists of at most so many rows are broadcast; larger ones go through a shuffle join.
 BROADCAST_ROWS = 500_000
+#: Hashes of fragments (8 bytes each) that are broadcast at most.
+EDGE_ROWS = 4_000_000
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -35,8 +41,14 @@ def blocklist(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def edges(fields: DataFrame) -> DataFrame:
-    """(benchmark, field, text) -> (edge): the distinct hashes that ``match`` looks for first."""
-    return fields.select(canonical("text").alias("c")).select(F.explode(window_edges("c")).alias("edge")).distinct()
+    """(benchmark, field, text) -> (edge): the distinct hashes of fragments that ``suspects`` looks for."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, h in window_hashes(*_bytes(batch.column(0))):
+                yield pa.RecordBatch.from_pydict({"edge": h.view(np.int64)})
+
+    return fields.select(canonical("text").alias("c")).mapInArrow(hashes, "edge long").distinct()
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -45,22 +57,98 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of a string array and the start of each text (nulls are empty)."""
+    texts = texts.cast(pa.large_string())
+    texts = texts.fill_null("") if texts.null_count else texts
+    _, offsets, data = texts.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if offsets else np.zeros(1, np.int64)
+
+
+_BYTE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = []
+
+
+def _power(n: int) -> list[np.ndarray]:
+    """The first n powers of the hash base and of its inverse, modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
+        _powers[:] = [np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 2**20), base, np.uint64)])) for base in (_BASE, pow(_BASE, -1, 2**64))]
+    return _powers
+
+
+def window_hashes(data: np.ndarray, offsets: np.ndarray, n: int = FRAGMENT_TOKENS, block: int = 2**16) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, first byte, end byte, hash) of all n-token windows of canonical texts, ``block`` windows at a time.
+
+    Tokens of a canonical text are one space apart, so a window is a run of bytes and its hash a difference of prefix sums.
+    """
+    first, end = offsets[:-1], offsets[1:]
+    some = end > first
+    space = np.flatnonzero(data[offsets[0] : offsets[-1]] == 32) + offsets[0]
+    starts, ends = np.sort(np.concatenate([first[some], space + 1]), kind="stable"), np.sort(np.concatenate([space, end[some]]), kind="stable")
+    owner = np.repeat(np.flatnonzero(some), np.diff(np.searchsorted(space, offsets))[some] + 1)
+    whole = np.flatnonzero(owner[: len(owner) - n + 1] == owner[n - 1 :]) if len(owner) >= n else np.zeros(0, np.int64)
+    for at in range(0, len(whole), block):
+        i = whole[at : at + block]
+        lo, hi = starts[i[0]], ends[i[-1] + n - 1]
+        p, q = _power(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_BYTE[data[lo:hi]] * p[: hi - lo], out=sums[1:])
+        s, e = starts[i], ends[i + n - 1]
+        h = (sums[e - lo] - sums[s - lo]) * q[s - lo]
+        yield owner[i], s, e, (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def suspects(docs: DataFrame, edge_table: DataFrame, text_col: str = "text") -> DataFrame:
+    """Texts -> the ``digest`` of their canonical form and ``fragments``, the digests of those of its windows whose hash is in
+    edge_table, in the text's stead; other columns stay.  One pass; the hashes are broadcast if they are counted to be few, else
+    all windows are suspect."""
+    docs = spread(docs).select(*[c for c in docs.columns if c != text_col], text_col)
+    if edge_table.limit(EDGE_ROWS + 1).count() > EDGE_ROWS:
+        return docs.withColumns({"digest": digest(text_col), "fragments": fragments(text_col)}).drop(text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(edge_table.toPandas()["edge"].to_numpy(np.int64).view(np.uint64)))
+    new = [T.StructField("digest", T.StringType()), T.StructField("fragments", T.ArrayType(T.StringType()))]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        shift = np.uint64(64 - min(26, max(16, len(known).bit_length() + 6)))
+        maybe = np.zeros(1 << int(np.uint64(64) - shift), bool)
+        maybe[(known >> shift).astype(np.int64)] = True
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            texts = [None if x is None else canonical_form(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            data, offsets = _bytes(pa.array(texts, pa.large_string()))
+            found: dict[int, dict[str, None]] = {}
+            for owner, s, e, h in window_hashes(data, offsets):
+                near = np.flatnonzero(maybe[(h >> shift).astype(np.int64)])
+                for i in near[np.isin(h[near], known)] if len(near) else ():
+                    found.setdefault(int(owner[i]), {})[hashlib.md5(data[s[i] : e[i]]).hexdigest()] = None
+            digests = pa.array([None if x is None else hashlib.md5(x.encode()).hexdigest() for x in texts], pa.string())
+            lists = pa.array([list(found.get(i, ())) for i in range(batch.num_rows)], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], digests, lists], [*batch.schema.names[:-1], "digest", "fragments"])
+
+    return docs.mapInArrow(look, T.StructType([*docs.drop(text_col).schema.fields, *new]))
+
+
+def hits(marked: DataFrame, whole: DataFrame, parts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, benchmark, field, kind) of rows with ``digest`` and ``fragments`` that are in the blocklist."""
+    known = whole.select(F.lit(0).alias("rank"), "digest", "benchmark", "field").union(parts.select(F.lit(1), "fragment", "benchmark", F.concat("field", F.lit(":fragment"))))
+    keys = F.concat(F.array(F.struct(F.lit(0).alias("rank"), F.col("digest"))), F.transform("fragments", lambda f: F.struct(F.lit(1).alias("rank"), f.alias("digest"))))
+    found = marked.select(id_col, F.inline(keys)).join(sized(known), ["rank", "digest"])
+    best = found.groupBy(id_col).agg(F.min(F.struct("rank", "benchmark", "field")).alias("hit"))
+    return best.select(id_col, "hit.benchmark", "hit.field", F.when(F.col("hit.rank") == 0, "exact").otherwise("fragment").alias("kind"))
+
+
 def match(docs: DataFrame, whole: DataFrame, parts: DataFrame, id_col: str = "doc_id", text_col: str = "text", edge_table: DataFrame | None = None) -> DataFrame:
     """(id, benchmark, field, kind) of each contaminated document: an exact match before a fragment match, then the least origin.
 
-    With ``edge_table`` (see ``edges``) documents are searched in one pass for a hash of a whole text or of the first and last
-    token of a fragment, and digests are made only of documents that have one.  Either way the hits are those of full
-    digests.
+    With ``edge_table`` (see ``edges``) documents are searched in one pass for the hash of a fragment, and digests are made only
+    of windows that have one.  Either way the hits are those of full digests.
     """
-    likely = docs.select(id_col, text_col)
-    if edge_table is not None:
-        own = spread(likely).select(id_col, canonical(text_col).alias("_c")).select(id_col, F.explode(window_edges("_c")).alias("edge"))
-        near = own.join(sized(edge_table), "edge", "left_semi").select(id_col).distinct()
-        likely = likely.join(near, id_col, "left_semi")
-    exact = likely.select(F.col(id_col), digest(text_col).alias("digest")).join(sized(whole), "digest").select(id_col, F.struct(F.lit(0).alias("rank"), "benchmark", "field").alias("hit"))
-    inside = likely.select(F.col(id_col), F.explode(fragments(text_col)).alias("fragment")).join(sized(parts), "fragment").select(id_col, F.struct(F.lit(1).alias("rank"), "benchmark", F.concat("field", F.lit(":fragment")).alias("field")).alias("hit"))
-    best = exact.union(inside).groupBy(id_col).agg(F.min("hit").alias("hit"))
-    return best.select(id_col, "hit.benchmark", "hit.field", F.when(F.col("hit.rank") == 0, "exact").otherwise("fragment").alias("kind"))
+    if edge_table is None:
+        marked = docs.select(id_col, digest(text_col).alias("digest"), fragments(text_col).alias("fragments"))
+    else:
+        marked = suspects(docs.select(id_col, text_col), edge_table, text_col)
+    return hits(marked, whole, parts, id_col)
 
 
 def decontaminate(docs: DataFrame, whole: DataFrame, parts: DataFrame, id_col: str = "doc_id", text_col: str = "text", edge_table: DataFrame | None = None) -> DataFrame:
