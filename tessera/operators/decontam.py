@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import FRAGMENT_TOKENS, canonical, canonical_form, digest, fragments
+from tessera.functions.text import FRAGMENT_TOKENS, canonical, digest, fragments, token_count
 
 #: Blocklists of at most so many rows are broadcast; larger ones go through a shuffle join.
 BROADCAST_ROWS = 500_000
@@ -52,9 +53,14 @@ def edges(fields: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df in as many partitions as there are cores, if it has fewer (a few large row groups); tables of many files stay as they are."""
+    """df in as many partitions as there are cores, if fewer hold rows: a file is split by bytes, but its rows are read by row group.
+
+    Partitions that hold rows are counted without reading a column; tables of many files stay as they are.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores and df.select(F.spark_partition_id().alias("p")).distinct().count() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +71,46 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if offsets else np.zeros(1, np.int64)
 
 
+#: For bytes of UTF-8: ASCII white space (as ``str.split`` has it) to spaces, and the same with small letters.
+_SPACES = bytes(32 if i < 128 and chr(i).isspace() else i for i in range(256))
+_SMALL = _SPACES.lower()
+#: White space beyond ASCII that compatibility forms leave as it is.
+_RARE = ("\x85", "\u1680", "\u2028", "\u2029")
+
+
+def _folded(text: str) -> bytes:
+    """Canonical form of a text, but for spaces inside that are not collapsed yet."""
+    if text.isascii():
+        return text.encode().translate(_SMALL).strip(b" ")
+    text = unicodedata.normalize("NFKC", text).casefold()
+    if any(c in text for c in _RARE):
+        text = " ".join(text.split())
+    return text.encode().translate(_SPACES).strip(b" ")
+
+
+def canonical_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of the canonical forms of a string array and the start of each (nulls are empty)."""
+    parts = [b"" if x is None else _folded(x) for x in texts.to_pylist()]
+    data, offsets = np.frombuffer(b"".join(parts), np.uint8), np.zeros(len(parts) + 1, np.int64)
+    np.cumsum([len(p) for p in parts], out=offsets[1:])
+    space = data == 32
+    again = np.flatnonzero(space[1:] & space[:-1]) + 1
+    return (np.delete(data, again), offsets - np.searchsorted(again, offsets)) if len(again) else (data, offsets)
+
+
+def token_counts(texts: pa.Array) -> np.ndarray:
+    """``text.token_count`` of a string array."""
+    data, offsets = _bytes(texts)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]  # of a slice the buffer holds all
+    first, end = offsets[:-1], offsets[1:]
+    ink = (data != 32) & ((data < 9) | (data > 13))
+    starts = ink.copy()
+    starts[1:] &= ~ink[:-1]
+    heads = first[end > first]
+    starts[heads] = ink[heads]
+    return np.diff(np.searchsorted(np.flatnonzero(starts), offsets))
+
+
 _BYTE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
@@ -99,15 +145,17 @@ def window_hashes(data: np.ndarray, offsets: np.ndarray, n: int = FRAGMENT_TOKEN
         yield owner[i], s, e, (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def suspects(docs: DataFrame, edge_table: DataFrame, text_col: str = "text") -> DataFrame:
+def suspects(docs: DataFrame, edge_table: DataFrame, text_col: str = "text", tokens: str | None = None) -> DataFrame:
     """Texts -> the ``digest`` of their canonical form and ``fragments``, the digests of those of its windows whose hash is in
-    edge_table, in the text's stead; other columns stay.  One pass; the hashes are broadcast if they are counted to be few, else
-    all windows are suspect."""
+    edge_table, in the text's stead; other columns stay.  With tokens, a column of that name has the text's token_count.  One pass;
+    the hashes are broadcast if they are counted to be few, else all windows are suspect."""
     docs = spread(docs).select(*[c for c in docs.columns if c != text_col], text_col)
     if edge_table.limit(EDGE_ROWS + 1).count() > EDGE_ROWS:
-        return docs.withColumns({"digest": digest(text_col), "fragments": fragments(text_col)}).drop(text_col)
+        counted = {tokens: token_count(text_col)} if tokens else {}
+        return docs.withColumns({"digest": digest(text_col), "fragments": fragments(text_col)} | counted).drop(text_col)
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(edge_table.toPandas()["edge"].to_numpy(np.int64).view(np.uint64)))
     new = [T.StructField("digest", T.StringType()), T.StructField("fragments", T.ArrayType(T.StringType()))]
+    new += [T.StructField(tokens, T.LongType())] if tokens else []
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
@@ -115,16 +163,18 @@ def suspects(docs: DataFrame, edge_table: DataFrame, text_col: str = "text") ->
         maybe = np.zeros(1 << int(np.uint64(64) - shift), bool)
         maybe[(known >> shift).astype(np.int64)] = True
         for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
-            texts = [None if x is None else canonical_form(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            data, offsets = _bytes(pa.array(texts, pa.large_string()))
+            texts = batch.column(batch.num_columns - 1)
+            data, offsets = canonical_bytes(texts)
             found: dict[int, dict[str, None]] = {}
             for owner, s, e, h in window_hashes(data, offsets):
                 near = np.flatnonzero(maybe[(h >> shift).astype(np.int64)])
                 for i in near[np.isin(h[near], known)] if len(near) else ():
                     found.setdefault(int(owner[i]), {})[hashlib.md5(data[s[i] : e[i]]).hexdigest()] = None
-            digests = pa.array([None if x is None else hashlib.md5(x.encode()).hexdigest() for x in texts], pa.string())
+            ends = offsets.tolist()
+            digests = [hashlib.md5(data[ends[i] : ends[i + 1]]).hexdigest() if ok else None for i, ok in enumerate(texts.is_valid().to_pylist())]
             lists = pa.array([list(found.get(i, ())) for i in range(batch.num_rows)], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], digests, lists], [*batch.schema.names[:-1], "digest", "fragments"])
+            made = [pa.array(digests, pa.string()), lists, *([pa.array(token_counts(texts), pa.int64())] if tokens else [])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], *[f.name for f in new]])
 
     return docs.mapInArrow(look, T.StructType([*docs.drop(text_col).schema.fields, *new]))
 

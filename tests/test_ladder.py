@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera import queries
 from tessera.functions import text
-from tessera.operators import decontam
+from tessera.operators import decontam, ladder
 
 
 def test_suspects_are_the_windows_of_the_blocklist(spark):
@@ -63,3 +64,60 @@ def test_the_ladder_reads_texts_once(spark, last):
     plan = queries._laddered(spark, "/root/testdata/sf0.001", last).select("reason")._jdf.queryExecution().optimizedPlan().toString()
     documents = [line for line in plan.splitlines() if "parquet" in line and "text#" in line]
     assert not any("source#" in line or "n_chars#" in line for line in documents)
+
+
+def test_canonical_bytes_and_token_counts_are_those_of_the_columns(spark):
+    import sys
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    odd = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"{c} A{c}" for c in odd[i : i + 997]) for i in range(0, len(odd), 997)] + [None, "", " ", "\x85", " \u2028 a\u1680"]
+    texts += [" ".join(f"a{c}b{c}" for c in odd if c.isspace()), *["".join(rng.choice(" \t\n\x0b\x1cAbß\xa0\u3000") for _ in range(rng.randint(0, 30))) for _ in range(2000)]]
+    column = pa.array(texts, pa.string())
+    for at in (0, 3):
+        data, offsets = decontam.canonical_bytes(column.slice(at))
+        assert [bytes(data[a:b]).decode() for a, b in zip(offsets, offsets[1:], strict=False)] == ["" if x is None else text.canonical_form(x) for x in texts[at:]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select(text.token_count("t")).collect()
+    assert decontam.token_counts(column).tolist() == [r[0] for r in rows]
+    assert decontam.token_counts(column.slice(2)).tolist() == [r[0] for r in rows[2:]]
+
+
+def test_one_row_group_is_spread(spark, tmp_path):
+    """Splits by bytes of a file with one row group, all but one of them empty."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = random.Random(5)
+    pq.write_table(pa.table({"doc_id": list(range(1200)), "text": [rng.randbytes(10_000).hex() for _ in range(1200)]}), str(tmp_path / "d.parquet"), compression="none")
+    docs = spark.read.parquet(str(tmp_path / "d.parquet"))
+    assert docs.rdd.getNumPartitions() >= 4
+    assert decontam.spread(docs).select(F.spark_partition_id()).distinct().count() == 4
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_the_ladder_counts_without_a_join(spark, last):
+    """Ids that repeat (with equal and other keys), null ids and null keys; as many duplicates as by row numbers."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(40)]), rng.choice([None, "k1", "k2", *map(str, range(50))]), rng.random() < 0.2) for _ in range(400)]
+    rows = [(i, k, bad, None if k is None else len(k) > 1) for i, k, bad in rows]
+    df = spark.createDataFrame(rows, "id long, key string, bad boolean, long boolean").repartition(3)
+    out = ladder.ladder_counts(df, [("bad", F.col("bad"))], F.col("key"), "id", [("long", F.col("long"))], last)
+    want = dict.fromkeys(["bad", "long", "duplicate", "accepted"], 0)
+    seen = set()
+    for _, key, bad, long in rows:
+        again = key in seen and key is not None
+        reason = "bad" if bad else "long" if last and long else "duplicate" if again else "long" if long else "accepted"
+        want[reason] += 1
+        if not bad:
+            seen.add(key)
+    assert {r["reason"]: r["records"] for r in out.collect()} == {k: v for k, v in want.items() if v}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    df = spark.range(1000).withColumn("key", F.when(F.col("id") % 10 == 0, F.lit("k")))
+    out = ladder.reason_ladder(df, [], F.col("key"), "id", [])
+    assert {r["reason"]: r["count"] for r in out.groupBy("reason").count().collect()} == {None: 901, "duplicate": 99}
+    assert "_spread" in out._jdf.queryExecution().optimizedPlan().toString() and "_spread" not in out.columns
