@@ -123,7 +123,19 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def window_hashes(data: np.ndarray, offsets: np.ndarray, n: int = FRAGMENT_TOKENS, block: int = 2**16) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which hashes are in known, which is sorted: by bisection, as ``np.isin`` would sort known again for each block."""
+    at = np.searchsorted(known, hashes)
+    out = at < len(known)
+    out[out] = known[at[out]] == hashes[out]
+    return out
+
+
+#: Windows that are hashed at a time: their sums and powers stay in a core's own cache.
+WINDOWS = 2**14
+
+
+def window_hashes(data: np.ndarray, offsets: np.ndarray, n: int = FRAGMENT_TOKENS, block: int = WINDOWS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(text, first byte, end byte, hash) of all n-token windows of canonical texts, ``block`` windows at a time.
 
     Tokens of a canonical text are one space apart, so a window is a run of bytes and its hash a difference of prefix sums.
@@ -168,7 +180,7 @@ def suspects(docs: DataFrame, edge_table: DataFrame, text_col: str = "text", tok
             found: dict[int, dict[str, None]] = {}
             for owner, s, e, h in window_hashes(data, offsets):
                 near = np.flatnonzero(maybe[(h >> shift).astype(np.int64)])
-                for i in near[np.isin(h[near], known)] if len(near) else ():
+                for i in near[among(h[near], known)]:
                     found.setdefault(int(owner[i]), {})[hashlib.md5(data[s[i] : e[i]]).hexdigest()] = None
             ends = offsets.tolist()
             digests = [hashlib.md5(data[ends[i] : ends[i + 1]]).hexdigest() if ok else None for i, ok in enumerate(texts.is_valid().to_pylist())]

@@ -59,6 +59,22 @@ def test_windows_of_sliced_arrays():
     assert not list(decontam.window_hashes(*decontam._bytes(pa.array([], pa.string()))))
 
 
+def test_windows_come_in_small_blocks():
+    """The same windows, in blocks whose sums fit a core's cache, and looked up without sorting the known hashes again."""
+    rng = random.Random(7)
+    texts = [" ".join(str(rng.randint(0, 999)) for _ in range(n)) for n in (40_000, 3, 12, 30_000, 11, 25)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    blocks, whole = list(decontam.window_hashes(data, offsets)), list(decontam.window_hashes(data, offsets, block=2**20))
+    assert len(whole) == 1 and max(len(b[0]) for b in blocks) <= 2**14
+    assert all((np.concatenate(parts) == all_).all() for parts, all_ in zip(zip(*blocks, strict=True), whole[0], strict=True))
+    top = np.uint64(2**64 - 1)
+    hashes = np.concatenate([whole[0][3], np.array([0, top], np.uint64)])
+    for known in (hashes[::7], hashes[-1:], hashes[:-1], hashes[:0]):
+        known = np.unique(known)
+        assert (decontam.among(hashes, known) == np.isin(hashes, known)).all()
+
+
 @pytest.mark.parametrize("last", [False, True])
 def test_the_ladder_reads_texts_once(spark, last):
     plan = queries._laddered(spark, "/root/testdata/sf0.001", last).select("reason")._jdf.queryExecution().optimizedPlan().toString()
